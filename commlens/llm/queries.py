@@ -15,6 +15,14 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(documents(spark, sf_dir), tokenizer_path())
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.quality_rules import judge
+
+    return judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commlens.llm.packing import pack
 
@@ -26,4 +34,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from commlens.llm import quality_rules
+
+    return {"op7_quality_rules": quality_rules.oracle()}
