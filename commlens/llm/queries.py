@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from commlens.llm.common import documents, tokenizer_path
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.simhash import near_duplicates
+
+    found = near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commlens.llm.wavelet import encode_and_read_back
 
