@@ -37,6 +37,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
