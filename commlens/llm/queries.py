@@ -17,6 +17,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.language import identify
+
+    return identify(documents(spark, sf_dir))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.quality_gam import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commlens.llm.wavelet import encode_and_read_back
 
