@@ -49,6 +49,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.html_wrappers import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.decontamination import contaminated
+
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commlens.llm.suffix_dedup import remove_repeats
 
