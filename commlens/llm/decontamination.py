@@ -227,3 +227,10 @@ def contaminated(
             yield _rows(c[0], c[1], of.__getitem__, coverage, b.schema.field(0).type, b.schema.field(2).type)
 
     return both.mapInArrow(run, schema).select(*named)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` into which no item leaked."""
+    own = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    leaked = contaminated(own, benchmark, "__row", text_col, item_col, item_text, **how).select("__row").distinct()
+    return own.join(written(leaked, "leaked"), "__row", "left_anti").drop("__row")

@@ -29,6 +29,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from commlens.llm.tool_calls import format_chats
+
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commlens.llm.wavelet import encode_and_read_back
 

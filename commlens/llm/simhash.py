@@ -240,3 +240,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = written(placed, "roots")
     ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     return own.join(placed.select("fp", "root").join(ids, "root"), "fp").select(id_col, "fp", "component_id", "root")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``df``, one of each component: the one with the smallest id (ties and null ids: the first row written)."""
+    own = written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    placed = near_duplicates(own, "__row", text_col, shingle, max_bits).select("__row", "root")
+    ids = own.select("__row", F.col(id_col).alias("__id"))
+    best = placed.join(ids, "__row").groupBy("root").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("b")).select(F.col("b.__row").alias("__row"))
+    return own.join(best, "__row", "left_semi").drop("__row")
