@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commlens.functions.cleaning import MAIL
-from commlens.functions.headers import text, title
+from commlens.functions.headers import let, text, title
 
 # A US number, and the words that tell its kind, in the order in which they are tried.
 NUMBER = r"(\([0-9]{3}\)|[0-9]{3})( {1,2}|[-./])[ ]?[0-9]{3}( {1,2}|[-./])[0-9]{4,5}"
@@ -38,16 +38,15 @@ def emails(c: Column) -> Column:
 def aliases(signature: Column, address: Column) -> Column:
     """Signature lines that begin with the local part's first three characters, or (first two lines) end with its last three."""
     local = F.lower(F.substring_index(text(address), "@", 1))
-    lines = F.filter(F.transform(F.split(text(signature), "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text(signature), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     hit = F.filter(lines, lambda x, i: F.startswith(F.lower(x), F.substring(local, 1, 3)) | ((i < 2) & F.endswith(F.lower(x), F.right(local, F.lit(3)))))
     return F.when(F.length(local) < 3, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(hit, lambda x: ~F.contains(x, F.lit("@")))))
 
 
 def organisation(address: Column, providers: list[str]) -> Column:
     """The second-to-last label of the domain in title case; null for free-mail providers and what has no domain."""
-    labels = F.split(F.substring_index(text(address), "@", -1), r"\.")
-    label = F.lower(F.get(labels, F.size(labels) - 2))
-    return F.when(F.contains(text(address), F.lit("@")) & (F.size(labels) > 1) & ~label.isin(*providers), title(label))
+    label = let(F.split(F.substring_index(text(address), "@", -1), r"\."), lambda x: F.lower(F.when(F.size(x) > 1, F.get(x, F.size(x) - 2))))
+    return let(label, lambda x: F.when(F.contains(text(address), F.lit("@")) & ~x.isin(*providers), title(x)))
 
 
 def signature(body: Column, address: Column, name: Column, last: int = 12) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commlens.functions.cleaning import STOPWORDS
-from commlens.functions.headers import text
+from commlens.functions.headers import let, text
 
 WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ0-9']+"
 SENTENCE = r"[.!?]+"
@@ -17,7 +17,7 @@ def words(c: Column) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    return F.filter(F.transform(F.split(text(c), SENTENCE), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text(c), SENTENCE), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def count_if(a: Column, keep) -> Column:
@@ -26,10 +26,13 @@ def count_if(a: Column, keep) -> Column:
 
 def median(a: Column) -> Column:
     """Median of an array of numbers; 0 of an empty one."""
-    s, n = F.array_sort(a), F.size(a)
-    mid = (n / 2).cast("int")
-    pair = F.when(n % 2 == 1, F.get(s, mid).cast("double")).otherwise((F.get(s, mid) + F.get(s, mid - 1)) / F.lit(2.0))
-    return F.when(n == 0, F.lit(0.0)).otherwise(pair)
+
+    def of(s: Column) -> Column:
+        n, mid = F.size(s), (F.size(s) / 2).cast("int")
+        pair = F.when(n % 2 == 1, F.get(s, mid).cast("double")).otherwise((F.get(s, mid) + F.get(s, mid - 1)) / F.lit(2.0))
+        return F.when(n == 0, F.lit(0.0)).otherwise(pair)
+
+    return let(F.array_sort(a), of)
 
 
 def ratio(a: Column, b: Column) -> Column:

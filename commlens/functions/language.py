@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from commlens.functions.headers import text
+from commlens.functions.headers import let, text
 
 # Frequent words that tell one language from the others.
 WORDS = {
@@ -18,10 +18,12 @@ WORDS = {
 
 def language(c: Column) -> Column:
     """The two-letter code whose words are most frequent (ties: the first in alphabet); ``xx`` if none occurs."""
-    w = F.split(F.lower(text(c)), r"[^a-zà-öø-ÿ]+")
-    scores = [F.struct((-F.size(F.filter(w, lambda x, ws=ws: x.isin(*ws)))).alias("n"), F.lit(code).alias("code")) for code, ws in sorted(WORDS.items())]
-    best = F.least(*scores)
-    return F.when(best["n"] == 0, "xx").otherwise(best["code"])
+
+    def score(w: Column, code: str) -> Column:
+        return F.struct((-F.size(F.filter(w, lambda x: x.isin(*WORDS[code])))).alias("n"), F.lit(code).alias("code"))
+
+    best = let(F.split(F.lower(text(c)), r"[^a-zà-öø-ÿ]+"), lambda w: F.least(*[score(w, code) for code in sorted(WORDS)]))
+    return let(best, lambda b: F.when(b["n"] == 0, "xx").otherwise(b["code"]))
 
 
 # Endings and words that tell an entity's class.

@@ -37,7 +37,7 @@ def responses(mails: DataFrame) -> DataFrame:
     A reply is in time strictly after t1 and strictly before three business days later.  All pairs of opposite mails
     count for the score, so the join is on the pair alone; its size is the product of a pair's two mail counts.
     """
-    m = mails.where("src <> dst")
+    m = mails.where("src <> dst").select("src", "dst", F.col("t").cast("timestamp").alias("t"))
     a = m.select(F.col("src").alias("x"), F.col("dst").alias("node"), F.col("t").alias("t1"))
     b = m.select(F.col("dst").alias("x"), F.col("src").alias("node"), F.col("t").alias("t2"))
     return a.join(b, ["x", "node"]).withColumn("in_time", (F.col("t2") > F.col("t1")) & (F.col("t2") < business_days_later(F.col("t1"))))
@@ -49,7 +49,7 @@ def response_counts(mails: DataFrame) -> DataFrame:
     The same numbers as from ``responses`` without its pairs: the pairs of two people are the product of two counts,
     and the replies in time come from a join on the pair and the day, as a reply is at most five days later.
     """
-    m = mails.where("src <> dst").select("src", "dst", "t")
+    m = mails.where("src <> dst").select("src", "dst", F.col("t").cast("timestamp").alias("t"))
     n = m.groupBy("src", "dst").agg(F.count("*").alias("n"))
     total = n.join(n.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("n").alias("k")), ["src", "dst"])
     total = total.groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("n") * F.col("k")).alias("pairs"))
@@ -168,7 +168,7 @@ def cliques(e: DataFrame) -> DataFrame:
     # The triangle's vertex that both others follow.
     own = tri.select("a", "b", "c").select(F.col("a").alias("v"), "b", "c")
 
-    def local(key, table: pd.DataFrame) -> pd.DataFrame:
+    def local(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
         adjacent: dict[str, set[str]] = {b: set() for b in table["b"]}
         for b, c in zip(table["b"], table["c"]):
             if c is not None:

@@ -1,11 +1,37 @@
-"""The registered queries of the engine and their SQL."""
+"""The registered queries of the engine and their SQL, gathered from the modules of this package."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
-def oracle_sql() -> dict:
-    return {}
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        if name in _QUERIES:
+            raise ValueError(f"{name} is registered twice")
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = sql
+        return f
+
+    return put
+
+
+def _load() -> None:
+    from commlens.plans import graphs, people, texts, topics  # noqa: F401
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(_SQL)

@@ -12,9 +12,9 @@ def source(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1)
 
 def bucket_counts(stream: DataFrame, ts: str, by: list[str], width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Counts in windows of event time; rows later than ``late`` are left out, so state is bounded."""
-    w = stream.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n"))
+    w = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n"))
     return w.select(F.col("w.start").alias("bucket"), *by, "n")
 
 
 def without_repeats(stream: DataFrame, ts: str, keys: list[str], late: str = "1 hour") -> DataFrame:
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
