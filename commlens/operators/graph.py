@@ -293,6 +293,7 @@ def roles(metrics: DataFrame, columns: list[str], k: int = 4, seed: int = 1) ->
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
+    metrics = written(metrics, "metrics")
     steps = [VectorAssembler(inputCols=columns, outputCol="v"), StandardScaler(inputCol="v", outputCol="x", withMean=True), KMeans(k=k, seed=seed, featuresCol="x", predictionCol="role")]
     return Pipeline(stages=steps).fit(metrics).transform(metrics).select("node", "role")
 

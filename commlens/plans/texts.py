@@ -139,8 +139,8 @@ n AS (SELECT doc_id, len(s) AS num_sentences, len(w) AS num_words, length(text)
   coalesce(list_median(list_transform(s, lambda x: length(x)::DOUBLE)), 0.0)::DOUBLE AS median_sentence_length,
   len(list_filter(w, lambda x: length(x) >= 6)) AS num_long_words, len(list_filter(w, lambda x: length(x) > 6)) AS l7 FROM a)
 SELECT doc_id, num_sentences, num_words, num_chars, num_unique_words, median_sentence_length, num_long_words,
-  CASE WHEN num_words = 0 OR num_sentences = 0 THEN 0.0 ELSE round(4.71::DOUBLE * num_chars / num_words + 0.5::DOUBLE * num_words / num_sentences - 21.43::DOUBLE, 6) END::DOUBLE AS ari,
-  CASE WHEN num_words = 0 OR num_sentences = 0 THEN 0.0 ELSE round(num_words::DOUBLE / num_sentences + 100::DOUBLE * l7 / num_words, 6) END::DOUBLE AS lix FROM n"""
+  CASE WHEN num_words = 0 OR num_sentences = 0 THEN 0.0 ELSE round(4.71::DOUBLE * (num_chars::DOUBLE / num_words) + 0.5::DOUBLE * (num_words::DOUBLE / num_sentences) - 21.43::DOUBLE, 6) END::DOUBLE AS ari,
+  CASE WHEN num_words = 0 OR num_sentences = 0 THEN 0.0 ELSE round(num_words::DOUBLE / num_sentences + 100::DOUBLE * (l7::DOUBLE / num_words), 6) END::DOUBLE AS lix FROM n"""
 
 
 @query("x2_x7_text_features", _FEATS)
