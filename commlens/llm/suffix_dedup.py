@@ -312,7 +312,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     own = written(df.select(F.monotonically_increasing_id().alias("uid"), utf8(text_col).alias("t"), *columns), "texts")
     seeds = written(own.select("uid", "t").mapInArrow(_find_seeds(length, seed), SEEDS), "seeds")
-    shared = seeds.groupBy("h1").agg(F.count("*").alias("n"), (F.min("h2") != F.max("h2")).alias("mixed")).where("n > 1").select("h1", "mixed")
+    # Written, so that the join's sides are plain exchanges and adaptive execution can split a seed that holds a third of the rows.
+    shared = written(seeds.groupBy("h1").agg(F.count("*").alias("n"), (F.min("h2") != F.max("h2")).alias("mixed")).where("n > 1").select("h1", "mixed"), "shared-seeds")
     among = written(seeds.join(shared, "h1"), "shared")
     kinds = among.where("mixed").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "p", "b")).alias("r"))
     kinds = written(kinds.select("h1", "h2", "n", "r.*"), "kinds")
