@@ -12,8 +12,8 @@ seed's windows, under 2 * length bytes) that share a seed, and those are aligned
 2. one fragment of each kind of the mixed seeds is fetched, and the construction runs column by column over them:
    each round inserts one symbol per fragment, keeps the order of the fragments by what they hold up to there, and
    updates the common length of neighbours; where it reaches ``length``, a repeated window ends;
-3. a mixed seed with more than ``group`` kinds of fragment does not go to one task: its windows are counted by their
-   128-bit hashes, with partial sums.
+3. the fragments of a mixed seed with more than ``group`` kinds never meet in one task: their windows are counted by
+   their 128-bit hashes, with partial sums.
 
 Plan: the texts are written once with row numbers; only seeds (about one for every 150 bytes) are shuffled, twice,
 by hash, and texts never are: requests and results go back to the text partitions as side files, each read by the
@@ -221,13 +221,12 @@ def _spans_of(found: np.ndarray, uid, a, p, left: int, length: int) -> list[tupl
 
 
 def _construct(length: int, seed: int, group: int, hold: int = 8192):
-    """An Arrow map over fragments sorted by seed: spans (uid, lo, hi); members of larger groups pass with their bytes."""
+    """An Arrow map over fragments sorted by seed: spans (uid, lo, hi); fragments of seeds with more kinds than ``group`` pass with their bytes."""
     left = length - seed
     cols = 2 * left + seed
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        passing = None
 
         def made(spans, members=()):
             u = [s[0] for s in spans] + [m[2] for m in members]
@@ -249,19 +248,17 @@ def _construct(length: int, seed: int, group: int, hold: int = 8192):
             return _spans_of(found, uid, a, p, left, length)
 
         for batch in parts:
+            large = []
             for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if row[0] == passing:
-                    yield made((), [row])
+                if row[1] > group:
+                    large.append(row)
                     continue
-                passing = None
                 if held and row[0] != held[-1][0] and len(held) >= hold:
                     yield made(solve(held))
                     held = []
                 held.append(row)
-                if len(held) > group and held[-1 - group][0] == row[0]:
-                    own = [r for r in held if r[0] == row[0]]
-                    yield made(solve(held[: len(held) - len(own)]), own)
-                    held, passing = [], row[0]
+            if large:
+                yield made((), large)
         if held:
             yield made(solve(held))
 
@@ -307,7 +304,7 @@ def _cut(folder: str):
     return run
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = 400, seed: int = 100, group: int = 4096) -> DataFrame:
+def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = 400, seed: int = 100, group: int = 1024) -> DataFrame:
     """The ``keep`` columns and n_bytes, n_removed, n_spans, kept_sha256, kept_text (a character cut through is left out)."""
     columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     own = written(df.select(F.monotonically_increasing_id().alias("uid"), utf8(text_col).alias("t"), *columns), "texts")
@@ -321,9 +318,12 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
         among.where("mixed").join(kinds.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("uid", "a", "b")
     )
     parts = (F.shiftright("uid", 33).alias("part"), F.col("uid").bitwiseAND((1 << 33) - 1).alias("idx"))
-    wanted = side_files(kinds.select(*parts, "h1", "n", "a", "p", "b"), "wanted")
+    per_seed = written(kinds.groupBy("h1").agg(F.count("*").alias("n")), "kinds-by-seed")
+    wanted = side_files(kinds.drop("n").join(per_seed, "h1").select(*parts, "h1", "n", "a", "p", "b"), "wanted")
     fragments = own.select(*parts, "t").mapInArrow(_fetch(wanted, length), FRAGMENTS)
-    solved = fragments.repartition("h1").sortWithinPartitions("h1").mapInArrow(_construct(length, seed, group), "uid long, lo long, hi long, frag binary")
+    # Fragments of a seed meet in one task only where there are at most ``group``; those of larger ones are dealt out by text.
+    salt = F.when(F.col("n") > group, F.xxhash64("uid", "a")).otherwise(0)
+    solved = fragments.repartition("h1", salt).sortWithinPartitions("h1").mapInArrow(_construct(length, seed, group), "uid long, lo long, hi long, frag binary")
     solved = written(solved, "solved")
     windows = solved.where("frag IS NOT NULL").mapInArrow(_window_hashes(length), "w1 long, w2 long, uid long, lo long")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
