@@ -238,8 +238,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     roots = components(links(distinct, max_bits, cell))
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     placed = written(placed, "roots")
-    ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    return own.join(placed.select("fp", "root").join(ids, "root"), "fp").select(id_col, "fp", "component_id", "root")
+    # Written, so that the joins' sides are plain exchanges and adaptive execution can split a large component or a group of copies.
+    ids = written(placed.groupBy("root").agg(F.min("low").alias("component_id")), "component-ids")
+    placed = written(placed.select("fp", "root").join(ids, "root"), "placed")
+    return own.join(placed, "fp").select(id_col, "fp", "component_id", "root")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
