@@ -314,9 +314,9 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     among = written(seeds.join(shared, "h1"), "shared")
     kinds = among.where("mixed").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "p", "b")).alias("r"))
     kinds = written(kinds.select("h1", "h2", "n", "r.*"), "kinds")
-    equal = among.where("NOT mixed").select("uid", "a", "b").union(
-        among.where("mixed").join(kinds.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("uid", "a", "b")
-    )
+    # Written by itself, so that adaptive execution can split the copies of one fragment.
+    equal = among.where("mixed").join(kinds.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("uid", "a", "b")
+    equal = among.where("NOT mixed").select("uid", "a", "b").union(written(equal, "equal"))
     parts = (F.shiftright("uid", 33).alias("part"), F.col("uid").bitwiseAND((1 << 33) - 1).alias("idx"))
     per_seed = written(kinds.groupBy("h1").agg(F.count("*").alias("n")), "kinds-by-seed")
     wanted = side_files(kinds.drop("n").join(per_seed, "h1").select(*parts, "h1", "n", "a", "p", "b"), "wanted")
@@ -326,7 +326,7 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     solved = fragments.repartition("h1", salt).sortWithinPartitions("h1").mapInArrow(_construct(length, seed, group), "uid long, lo long, hi long, frag binary")
     solved = written(solved, "solved")
     windows = solved.where("frag IS NOT NULL").mapInArrow(_window_hashes(length), "w1 long, w2 long, uid long, lo long")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
+    twice = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1"), "twice")
     spans = (
         equal.select("uid", F.col("a").cast("long").alias("lo"), (F.col("b") + length).cast("long").alias("hi"))
         .union(solved.where("frag IS NULL").select("uid", "lo", "hi"))
