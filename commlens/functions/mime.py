@@ -85,7 +85,7 @@ def _words(value: str) -> str:
 
 def decode(raw: str | None) -> tuple[str, str, list[str], int]:
     """(kept headers as lines, first text body, attachment names, parser defects)."""
-    m = email.message_from_string(raw or "")
+    m = email.message_from_bytes((raw or "").encode("utf-8", "surrogateescape"))
     header = "".join(f"{k}: {_words(str(v))}\n" for k, v in m.items() if k.lower().startswith(KEPT_HEADERS))
     body, files = None, []
     for part in m.walk():

@@ -19,7 +19,7 @@ _STOP = frozenset(STOPWORDS)
 
 
 def windows_covering(first: int, last: int, n: int, width: int) -> int:
-    """In how many windows of ``width`` tokens (each start of a text of n tokens, none beyond the last full one) both places stand."""
+    """In how many windows both places stand: w = min(n, width), windows start at 0 to n - w + 1 and reach w places beyond their start."""
     w = min(n, width)
     return max(0, min(first, n - w + 1, n - 1) - max(0, last - w) + 1)
 
