@@ -54,7 +54,7 @@ def features_of(text: bytes) -> list[float]:
     return [
         float(np.log1p(len(words))), solid / w, of["symbols"] / w, of["upper"] / solid, int(n[33]) / w, int(n[124]) / w, 1 - len(set(lines)) / k if lines else 0.0, repeats,
         len(set(words)) / w, ended / k, of["digits"] / solid, int(n[128:].sum()) / solid, float(np.log1p(size / k)), of["marks"] / w, of["letters"] / solid,
-        sum(map(bytes.istitle, words[:200])) / min(w, 200), of["vowels"] / max(1, of["letters"]), of["spaces"] / size,
+        sum(map(bytes.istitle, words)) / w, of["vowels"] / max(1, of["letters"]), of["spaces"] / size,
     ]
 
 
