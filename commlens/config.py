@@ -25,8 +25,8 @@ class Config:
     df_max_fraction: float = 0.1
     phrase_chunk_chars: int = 10_000
     phrase_count: int = 100
-    phrase_window: int = 15
-    phrase_lengths: list[int] = field(default_factory=lambda: [1, 2, 3, 4])
+    phrase_window: int = 1000
+    phrase_lengths: list[int] = field(default_factory=lambda: [2, 3, 4, 5, 6])
     response_days: int = 3
     no_response_seconds: float = 432_000.0
     free_mail_providers: list[str] = field(default_factory=lambda: ["aol", "gmail", "gmx", "hotmail", "yahoo", "msn", "web"])

@@ -24,43 +24,56 @@ def windows_covering(first: int, last: int, n: int, width: int) -> int:
     return max(0, min(first, n - w + 1, n - 1) - max(0, last - w) + 1)
 
 
-def keyphrases(text: str, top: int = 20, lengths: tuple[int, ...] = (1, 2, 3, 4), window: int = 15, prefilter: int = 100, rounds: int = 30) -> list[tuple[str, float]]:
-    """(phrase, score), best first; equal scores by phrase, last first."""
+def _together(at: list[tuple[int, int]], k: int, n: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of log distances and numbers of common windows for each two of ``k`` terms; ``at``: sorted (place, term)."""
+    place, term = np.array(at).T
+    m, number = np.zeros(k * k), np.zeros(k * k)
+    ends = np.searchsorted(place, place + w, side="right")
+    for a in range(0, len(at), 256):
+        size = np.maximum(ends[a : a + 256] - np.arange(a, min(a + 256, len(at))) - 1, 0)
+        i = np.repeat(np.arange(a, a + len(size)), size)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+        first, last = place[i], place[j]
+        cover = np.maximum(np.minimum(first, min(n - w + 1, n - 1)) - np.maximum(last - w, 0) + 1, 0) * (term[i] != term[j])
+        key = term[i] * k + term[j]
+        m += np.bincount(key, cover * np.log(w / np.maximum(last - first, 1)), k * k)
+        number += np.bincount(key, cover, k * k)
+    m, number = m.reshape(k, k), number.reshape(k, k)
+    return m + m.T, number + number.T
+
+
+def keyphrases(text: str, top: int = 100, lengths: tuple[int, ...] = (2, 3, 4, 5, 6), window: int = 1000, prefilter: int = 100, rounds: int = 30) -> list[tuple[str, float]]:
+    """(phrase, score), best first; equal scores by phrase, last first.  A window is no wider than the text."""
     tokens = [t.lower() for t in TOKEN.findall(text or "")]
     n = len(tokens)
-    content = [t not in _STOP and not t.isdigit() for t in tokens]
+    run = [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        run[i] = 0 if tokens[i] in _STOP or tokens[i].isdigit() else run[i + 1] + 1
     places: dict[str, list[int]] = defaultdict(list)
     for size in lengths:
         for i in range(n - size + 1):
-            if all(content[i : i + size]):
+            if run[i] >= size:
                 phrase = " ".join(tokens[i : i + size])
                 if len(phrase) > 6:
                     places[phrase].append(i)
     least = min(n / 1000, 4)
     counts = Counter({p: len(at) for p, at in places.items() if len(at) >= least})
     kept = [p for p, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: max(3 * top, prefilter)]]
-    by_length = sorted(kept, key=len)
+    inside = dict.fromkeys(kept, 0)
+    for q in kept:
+        t = q.split(" ")
+        for p in {" ".join(t[i : i + size]) for size in range(1, len(t)) for i in range(len(t) - size + 1)}:
+            if p in inside:
+                inside[p] += counts[q]
     weight = {}
-    for i, p in enumerate(by_length):
-        inside = sum(counts[q] for q in by_length[i + 1 :] if f" {p} " in f" {q} ")
-        w = (counts[p] - inside) * math.sqrt(len(p.split()))
+    for p in kept:
+        w = (counts[p] - inside[p]) * math.sqrt(len(p.split()))
         if w > 0:
             weight[p] = w
     terms = sorted(weight)
     if not terms:
         return []
-    at = sorted((i, k) for k, p in enumerate(terms) for i in places[p])
-    m = np.zeros((len(terms), len(terms)))
-    number = np.zeros_like(m)
-    for a, (i, k) in enumerate(at):
-        for j, q in at[a + 1 :]:
-            if j - i > window:
-                break
-            cover = windows_covering(i, j, n, window)
-            if q != k and cover:
-                m[k, q] += cover * math.log(window / max(j - i, 1))
-                number[k, q] += cover
-    m, number = m + m.T, number + number.T
+    m, number = _together(sorted((i, k) for k, p in enumerate(terms) for i in places[p]), len(terms), n, min(n, window))
     w = np.array([weight[t] for t in terms])
     edge = np.where(number > 0, (1 + m) / np.maximum(number, 1), 0) * w[:, None] * w[None, :]
     total = edge.sum(axis=1, keepdims=True)

@@ -277,7 +277,7 @@ def p32(spark, sf_dir):
 @query("m1_keyphrases")
 def m1(spark, sf_dir):
     """Graph-ranked phrases of every chunk, then means over chunks."""
-    c = phrases.chunk_phrases(_docs(spark, sf_dir), "doc_id", "text", top=10)
+    c = phrases.chunk_phrases(_docs(spark, sf_dir), "doc_id", "text")
     return phrases.mean_scores(c, F.col("phrase"), F.col("score"))
 
 
