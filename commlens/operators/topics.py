@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commlens.operators.models import ALL
+
 
 def document_frequency(df: DataFrame, id_col: str, words: Column) -> DataFrame:
     """(term, df): in how many documents a term occurs.  Terms are made distinct in the row, so counts combine before the shuffle."""
@@ -33,7 +35,7 @@ def buckets(df: DataFrame, ts: Column, unit: str = "month") -> DataFrame:
     return own.join(own.groupBy("bucket").agg(F.count("*").alias("bucket_count")), "bucket")
 
 
-def train(df: DataFrame, words: str, k: int = 25, alpha: float = 0.1, beta: float = 0.1, iterations: int = 20, least: int = 3, most: float = 0.1, vocabulary: int = 50_000, seed: int = 1):
+def train(df: DataFrame, words: str, k: int = 25, alpha: float = 0.1, beta: float = 0.1, iterations: int = 20, least: int = 3, most: float = 0.1, vocabulary: int = ALL, seed: int = 1):
     """A fitted pipeline (counts, LDA); training is distributed and nothing is collected but the model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import LDA

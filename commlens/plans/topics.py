@@ -108,11 +108,14 @@ def m7n(spark, sf_dir):
 @query("m8_m9_tfidf_pca")
 def m8(spark, sf_dir):
     from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
+
+    from commlens.tables import written
 
     bags = _bags(spark, sf_dir)
-    model = Pipeline(stages=[*models.tfidf("words", "x", 5, 0.7, 500), models.reduced("x", "pca", 4)]).fit(bags)
-    return model.transform(bags).select("doc_id", F.size(vector_to_array("pca")).alias("dimensions"), F.round(F.sqrt(F.aggregate(vector_to_array("x"), F.lit(0.0), lambda s, v: s + v * v)), 6).alias("length"))
+    model = Pipeline(stages=models.tfidf("words", "x", 5, 0.7)).fit(bags)
+    rows = written(models.sparse(model.transform(bags), "doc_id", "x"), "tfidf")  # read once a round
+    out = models.reduced(rows, models.components(rows, len(model.stages[0].vocabulary), 4), "pca")
+    return out.select("doc_id", F.size("pca").alias("dimensions"), F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)), 6).alias("length"))
 
 
 @query("a13_insights")

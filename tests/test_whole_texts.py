@@ -35,3 +35,26 @@ def test_pairs_of_terms_by_windows():
                         want[p][q] += math.log(w / max(abs(i - j), 1))
                         times[p][q] += 1
         assert all(abs(sums[p][q] - want[p][q]) < 1e-9 and number[p][q] == times[p][q] for p in range(k) for q in range(k))
+
+
+def test_all_terms_and_their_components(spark):
+    import numpy as np
+    from pyspark.ml import Pipeline
+
+    from commlens.operators import models
+
+    rng = random.Random(5)
+    rows = [(i, [f"t{rng.randrange(30000)}" for _ in range(500)] + ["red"] * (i % 3) + ["blue"] * (i % 5)) for i in range(120)] + [(120, [])]
+    df = spark.createDataFrame(rows, "doc_id int, words array<string>").repartition(3)
+    model = Pipeline(stages=models.tfidf("words", "x", 1, 0.99)).fit(df)
+    assert set(model.stages[0].vocabulary) == {w for _, ws in rows for w in ws} and len(model.stages[0].vocabulary) > 20000
+    small = Pipeline(stages=models.tfidf("words", "x", 5, 0.9)).fit(df)
+    size = len(small.stages[0].vocabulary)
+    s = models.sparse(small.transform(df), "doc_id", "x").cache()
+    pc = models.components(s, size, 2, rounds=500, near=1e-12)
+    x = np.zeros((121, size))
+    for r in s.collect():
+        x[r.doc_id, r.i] = r.x
+    values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    assert np.allclose(np.var(x @ pc, axis=0, ddof=1), values[:2], rtol=1e-6) and np.allclose(pc.T @ pc, np.eye(2), atol=1e-9)
+    assert all(np.allclose(r.pca, x[r.doc_id] @ pc) for r in models.reduced(s, pc, "pca").collect())
