@@ -128,6 +128,81 @@ INLINE = re.compile(
     + r")",
     re.I | re.M,
 )
+# A kind of inline header: what its first line holds, what line must follow within the next two (or None), and what its last line holds.
+# Survey Y1: the kinds whose whole lines are removed, as case and all are given there.
+REMOVED = [
+    (re.compile(first), after and re.compile(after), re.compile(last))
+    for first, after, last in (
+        (r"-{3}.*Forwarded by", None, r"Subject:"),
+        (r"Begin forwarded message:", None, r"To:"),
+        (r"-{3}.*Original Message", None, r"Subject:"),
+        (r"_{3}.*Reply Separator", None, r"Date"),
+        (r"\d{2}/\d{2}/\d{2,4}\s\d{2}:\d{2}", r"To: ", r"Subject: "),
+        (r"From:", None, r"Subject:"),
+    )
+]
+
+
+def inline_headers(text: str, kinds: list, before: int = 0) -> list[tuple[int, int]]:
+    """(start, end) of each header, from the start of its first line to the end of its last, however long it is.
+
+    Line by line, with the next last line of each kind known beforehand: linear in the text.  A kind with a line that
+    must follow starts ``before`` lines above its first one.
+    """
+    lines = text.split("\n")
+    if not any(first.search(x) for x in lines for first, _, _ in kinds):
+        return []
+    nexts: dict[str, list[int]] = {}
+    for _, _, last in kinds:
+        if last.pattern not in nexts:
+            at = nexts[last.pattern] = [len(lines)] * (len(lines) + 1)
+            for i in range(len(lines) - 1, -1, -1):
+                at[i] = i if last.search(lines[i]) else at[i + 1]
+    starts = [0]
+    for x in lines:
+        starts.append(starts[-1] + len(x) + 1)
+
+    def end(i: int) -> int | None:
+        for first, after, last in kinds:
+            j = i + before if after else i
+            m = first.search(lines[j]) if j < len(lines) else None
+            if not m:
+                continue
+            if after:
+                j = next((x for x in (j + 1, j + 2) if x < len(lines) and after.search(lines[x])), None)
+                m = j is not None and after.search(lines[j])
+                if not m:
+                    continue
+            e = j if last.search(lines[j], m.end()) else nexts[last.pattern][j + 1]
+            if e < len(lines):
+                return e
+        return None
+
+    out, i = [], 0
+    while i < len(lines):
+        e = end(i)
+        if e is not None:
+            out.append((starts[i], starts[e] + len(lines[e])))
+            i = e
+        i += 1
+    return out
+
+
+def no_inline_headers(text: str | None) -> str:
+    """The text without its inline headers (survey Y1)."""
+    text, at, out = text or "", 0, []
+    for a, b in inline_headers(text, REMOVED, 1):
+        out.append(text[at:a])
+        at = b
+    return "".join([*out, text[at:]])
+
+
+def _no_inline_headers(text: pd.Series) -> pd.Series:
+    return text.map(no_inline_headers)
+
+
+def without_inline_headers(c) -> Column:
+    return F.pandas_udf(_no_inline_headers, "string")(c)
 
 
 def split(header: str | None, body: str | None) -> list[dict]:

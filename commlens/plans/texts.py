@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from commlens.functions import cleaning as cl
 from commlens.functions import features as ft
 from commlens.functions.language import WORDS, entities, language
-from commlens.functions.mime import text_of_html
+from commlens.functions.mime import text_of_html, without_inline_headers
 from commlens.operators import models, phrases
 from commlens.operators.topics import top_k
 from commlens.plans.mails import table
@@ -128,7 +128,7 @@ def p3(spark, sf_dir):
 
 @query("y1_inline_headers", f"SELECT doc_id, md5({_chain(_T, [r'(?i)-----original message-----[^§]*$'])}) AS h FROM documents")
 def y1(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.md5(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?i)-----original message-----[^§]*$", "")).alias("h"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(without_inline_headers(F.col("text"))).alias("h"))
 
 
 _W = f"regexp_extract_all({_T}, '{ft.WORD.replace(chr(39), chr(39) * 2)}')"

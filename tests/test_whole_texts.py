@@ -58,3 +58,16 @@ def test_all_terms_and_their_components(spark):
     values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
     assert np.allclose(np.var(x @ pc, axis=0, ddof=1), values[:2], rtol=1e-6) and np.allclose(pc.T @ pc, np.eye(2), atol=1e-9)
     assert all(np.allclose(r.pca, x[r.doc_id] @ pc) for r in models.reduced(s, pc, "pca").collect())
+
+
+def test_each_inline_header_is_removed():
+    from commlens.functions.mime import no_inline_headers
+
+    many = "To: " + ",\n ".join(f"person{i}@example.com" for i in range(400)) + "\n"
+    for head in (
+        "---- Forwarded by A on x ----\nA\n" + many + "Subject: s", "Begin forwarded message:\n> From: A\n" + many.strip().replace("\n", " "), "-----Original Message-----\nFrom: A\n" + many + "Subject: s",
+        "____ Reply Separator ____\nAuthor: A\nDate: 1/2/00", "A B\n01/02/2000 10:11 AM\n" + many + "Subject: s", "From: A\n" + many + "Subject: s",
+    ):
+        assert no_inline_headers(f"One §.\n\n{head}\nTwo §.\n") == "One §.\n\n\nTwo §.\n"
+    assert no_inline_headers(None) == "" and no_inline_headers("From: A\nno more") == "From: A\nno more"
+    assert no_inline_headers("From: x\n" * 100_000) == "From: x\n" * 100_000
