@@ -117,18 +117,19 @@ def text_of_html(html) -> Column:
 
 
 PARTS = "array<struct<header:string,body:string>>"
-_END = r"(?:subject|betreff)[ \t]*:[^\n]*"
-#: Where an inline header starts and how it goes on; each alternative is a line of dashes or the first of its keys.
-INLINE = re.compile(
-    r"^[> \t]*(?:"
-    r"-{2,}[ \t]*(?:forwarded by|original message|reply separator|ursprüngliche nachricht|nachricht)[\s\S]{0,2000}?" + _END
-    + r"|(?:begin )?forwarded message:[\s\S]{0,2000}?^[> \t]*to[ \t]*:[^\n]*"
-    + r"|(?:from|von)[ \t]*:[^\n]*\n(?:[^\n]*\n){0,12}?[> \t]*" + _END
-    + r"|[^\n]{0,120}?[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{2,4}[^\n]{0,40}\n[> \t]*to[ \t]*:(?:[^\n]*\n){1,12}?[> \t]*" + _END
-    + r")",
-    re.I | re.M,
-)
 # A kind of inline header: what its first line holds, what line must follow within the next two (or None), and what its last line holds.
+_SUBJECT = r"(?:subject|betreff)[ \t]*:"
+INLINE = [
+    (re.compile(first, re.I), after and re.compile(after, re.I), re.compile(last, re.I))
+    for first, after, last in (
+        (r"^[> \t]*-{2,}[ \t]*(?:forwarded by|original message|ursprüngliche nachricht|nachricht)", None, _SUBJECT),
+        (r"^[> \t]*(?:begin )?forwarded message:", None, r"^[> \t]*to[ \t]*:"),
+        (r"^[> \t]*[-_]{2,}[ \t]*reply separator", None, r"^[> \t]*date"),
+        (r"^[> \t]*[-_]{2,}[ \t]*reply separator", None, _SUBJECT),
+        (r"^[> \t]*(?:from|von)[ \t]*:", None, r"^[> \t]*" + _SUBJECT),
+        (r"[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{2,4}", r"^[> \t]*to[ \t]*:", r"^[> \t]*" + _SUBJECT),
+    )
+]
 # Survey Y1: the kinds whose whole lines are removed, as case and all are given there.
 REMOVED = [
     (re.compile(first), after and re.compile(after), re.compile(last))
@@ -208,11 +209,11 @@ def without_inline_headers(c) -> Column:
 def split(header: str | None, body: str | None) -> list[dict]:
     """The protocol header with the text up to the first inline header, then each inline header with the text up to the next."""
     body = body or ""
-    found = list(INLINE.finditer(body))
-    ends = [m.start() for m in found] + [len(body)]
+    found = inline_headers(body, INLINE)
+    ends = [a for a, _ in found] + [len(body)]
     out = [{"header": header or "", "body": body[: ends[0]].strip()}]
-    for m, end in zip(found, ends[1:]):
-        out.append({"header": m[0], "body": body[m.end() : end].strip()})
+    for (a, b), end in zip(found, ends[1:]):
+        out.append({"header": body[a:b], "body": body[b:end].strip()})
     return out
 
 

@@ -71,3 +71,12 @@ def test_each_inline_header_is_removed():
         assert no_inline_headers(f"One §.\n\n{head}\nTwo §.\n") == "One §.\n\n\nTwo §.\n"
     assert no_inline_headers(None) == "" and no_inline_headers("From: A\nno more") == "From: A\nno more"
     assert no_inline_headers("From: x\n" * 100_000) == "From: x\n" * 100_000
+
+
+def test_long_headers_are_split():
+    from commlens.functions.mime import split
+
+    many = "To: " + ",\n ".join(f"person{i}@example.com" for i in range(400)) + "\n"
+    for head in ("-----Original Message-----\nSent: x\n" + many + "Subject: s", "From: A\n" + many + "Subject: s", "A 1/2/2000 10:11\n" + many + "Subject: s", "____ Reply Separator ____\nAuthor: A\nDate: 1/2/00"):
+        assert split("H", f"One.\n{head}\n\nTwo.") == [{"header": "H", "body": "One."}, {"header": head, "body": "Two."}]
+    assert len(split("H", "From: x\n" * 100_000)) == 1
