@@ -43,7 +43,7 @@ for _unit in ("year", "month", "day"):
 
 def _model(spark, sf_dir):
     bags = _bags(spark, sf_dir)
-    return topics.train(bags, "words", k=10, iterations=10), bags
+    return topics.train(bags, "words"), bags
 
 
 @query("m2_k1_topic_terms")
@@ -55,7 +55,7 @@ def m2(spark, sf_dir):
 @query("m3_old_topics")
 def m3(spark, sf_dir):
     bags = _bags(spark, sf_dir)
-    model = topics.train(bags, "words", k=20, alpha=50 / 20, iterations=5, most=0.05)
+    model = topics.train(bags, "words", k=100, alpha=50 / 100, most=0.05)
     return topics.terms_of(model, 10).select("topic_id", F.size("terms").alias("terms"))
 
 

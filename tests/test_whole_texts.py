@@ -80,3 +80,27 @@ def test_long_headers_are_split():
     for head in ("-----Original Message-----\nSent: x\n" + many + "Subject: s", "From: A\n" + many + "Subject: s", "A 1/2/2000 10:11\n" + many + "Subject: s", "____ Reply Separator ____\nAuthor: A\nDate: 1/2/00"):
         assert split("H", f"One.\n{head}\n\nTwo.") == [{"header": "H", "body": "One."}, {"header": head, "body": "Two."}]
     assert len(split("H", "From: x\n" * 100_000)) == 1
+
+
+def test_registered_topic_models(monkeypatch):
+    import inspect
+
+    import pytest
+
+    from commlens.operators import topics
+    from commlens.plans import topics as plans
+
+    signature, seen = inspect.signature(topics.train), []
+
+    def train(*a, **b):
+        got = signature.bind(*a, **b)
+        got.apply_defaults()
+        seen.append(got.arguments)
+        raise InterruptedError
+
+    monkeypatch.setattr(topics, "train", train)
+    monkeypatch.setattr(plans, "_bags", lambda *a: None)
+    for f in (plans.m2, plans.m4, plans.m3):
+        with pytest.raises(InterruptedError):
+            f(None, "")
+    assert [(x["k"], x["alpha"], x["iterations"]) for x in seen] == [(25, 0.1, 20), (25, 0.1, 20), (100, 0.5, 20)]
