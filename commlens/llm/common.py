@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,12 +18,17 @@ def tokenizer_path() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    One of our own only where that is unset and driver and executors are one process (``local[...]``: tests); on a
+    cluster an unset folder is an error, as a machine-local one would be lost to the other machines.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="commlens-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    if at:
+        return at.rstrip("/")
+    if not spark.sparkContext.master.partition("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file:///tmp/commlens-" + spark.sparkContext.applicationId
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -44,10 +48,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` gave and that nothing will read again."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def positions(uid: str = "uid") -> tuple[Column, Column]:
+    """(part, idx) of a row number made by ``monotonically_increasing_id``: the task that wrote the row, and its place there."""
+    return F.shiftright(uid, 33).alias("part"), F.col(uid).bitwiseAND((1 << 33) - 1).alias("idx")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

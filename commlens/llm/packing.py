@@ -126,7 +126,7 @@ class Packer:
 
 def pack(
     df: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, id_col: str = "doc_id", text_col: str = "text",
-    loose: int = 256, hold_tokens: int = 16_000_000, max_words: int = 500_000,
+    loose: int = 256, hold_tokens: int = 16_000_000, max_words: int = 1_000_000,
 ) -> DataFrame:
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 

@@ -28,12 +28,14 @@ def _byte_chars() -> dict[int, int]:
 
 
 BYTE_CHARS = _byte_chars()
+#: The same for whole letters of two bytes.
+LETTER_CHARS = {c: "".join(chr(BYTE_CHARS[b]) for b in chr(c).encode()) for c in range(0x80, 0x130)}
 
 
 class CachedTokenizer(dict):
     """Chunk to its ids as little-endian bytes, ``width`` bytes an id; a missing chunk is encoded when asked for."""
 
-    def __init__(self, path: str, max_words: int = 500_000):
+    def __init__(self, path: str, max_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -53,7 +55,7 @@ class CachedTokenizer(dict):
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def _word(self, w: str) -> bytes:
-        return b"".join([t.id.to_bytes(self.width, "little") for t in self.tok.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARS))])
+        return b"".join([t.id.to_bytes(self.width, "little") for t in self.tok.model.tokenize(w if w.isascii() else w.translate(LETTER_CHARS))])
 
     def _whole(self, text: bytes) -> bytes:
         return self._pack(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
@@ -69,7 +71,7 @@ class CachedTokenizer(dict):
                 if len(base) < len(chunk):
                     ids = self[base] + self[chunk[len(base) :]]
                 else:
-                    ids = self._word(w if w.isascii() else "".join([c.lower() for c in w]))
+                    ids = self._word(w.lower())  # below U+0130 lower case is a letter's own, whatever stands beside it
         if ids is None:
             ids = self._whole(chunk)
         self[chunk] = ids

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commlens.llm.common import scratch, utf8, written
+from commlens.llm.side import open_uri
 from commlens.llm.tokens import batches, crc32_u32, worker_tokenizer
 
 MAGIC = b"WMTOKEN1"
@@ -58,9 +59,11 @@ def encode_shard(ids: np.ndarray, doc_ends: np.ndarray, keys: pa.Array, levels:
         plane = np.packbits(bit)
         ones = np.concatenate([[0], np.cumsum(np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), SUPER), dtype=np.uint32), dtype=np.uint32)]) if len(plane) else np.zeros(1, np.uint32)
         blocks = [put(z.compress(plane[i : i + BLOCK].tobytes())) for i in range(0, len(plane), BLOCK)]
-        low, high = a[~bit], a[bit]
+        low, high, dealt = np.flatnonzero(~bit), np.flatnonzero(bit), np.empty_like(a)
         foot["planes"].append({"zeros": len(low), "blocks": blocks, "ranks": put(_packed_array(z, ones.astype("<u4")))})
-        a = np.concatenate([low, high])
+        a.take(low, out=dealt[: len(low)], mode="clip")
+        a.take(high, out=dealt[len(low) :], mode="clip")
+        a = dealt
     tail = json.dumps(foot, separators=(",", ":")).encode()
     return [*out, tail, len(tail).to_bytes(8, "little"), MAGIC]
 
@@ -168,27 +171,22 @@ class WaveletMatrix:
             plane = self.foot["planes"][p]
             bit = np.unpackbits(np.concatenate([np.frombuffer(self._get(b), np.uint8) for b in plane["blocks"]]), count=self.n).view(bool) if plane["blocks"] else np.zeros(0, bool)
             up = np.empty_like(ids)
-            up[~bit] = ids[: plane["zeros"]]
-            up[bit] = ids[plane["zeros"] :] | self.dtype.type(1 << (self.levels - 1 - p))
+            up[np.flatnonzero(~bit)] = ids[: plane["zeros"]]
+            up[np.flatnonzero(bit)] = ids[plane["zeros"] :] | self.dtype.type(1 << (self.levels - 1 - p))
             ids = up
         return ids
 
 
-def open_uri(uri: str):
-    from pyarrow import fs
-
-    where, path = fs.FileSystem.from_uri(uri)
-    return where, path
-
-
 def write_shards(
-    df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, max_words: int = 500_000,
+    df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, max_words: int = 1_000_000,
 ) -> DataFrame:
     """Writes the shards into ``folder``; the manifest: path, part, seq, n_docs, n_tokens.
 
     Texts are dealt out by ranges of the id and sorted within each; a task writes a shard whenever it holds
-    ``shard_tokens`` ids, so its memory is bounded whatever the range holds.  A file is written under a name of
-    its own and then renamed, so a repeated task leaves the same files.
+    ``shard_tokens`` ids, so its memory is bounded whatever the range holds.  Every file has a name of its own and is
+    never renamed; the manifest, a written table, names those of the attempts that counted, so a repeated task is safe
+    on any store, and what an attempt that was lost left behind is never read.  The range key has a hash of the text
+    below the id, so that different texts of one repeated or null id can be split.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,15 +202,13 @@ def write_shards(
 
         def close():
             nonlocal held, keys, size, seq
-            path = f"{base}/part-{part:06d}-{seq:05d}.wm"
-            own = f"{path}.{uuid.uuid4().hex}"
+            name = f"part-{part:06d}-{seq:05d}-{uuid.uuid4().hex}.wm"
             ids = np.frombuffer(b"".join(held), dtype=tok.dtype)
             ends = np.cumsum([len(x) // tok.width for x in held])
-            with store.open_output_stream(own) as f:
+            with store.open_output_stream(f"{base}/{name}") as f:
                 for x in encode_shard(ids, ends, pa.array(keys, id_type), levels):
                     f.write(x)
-            store.move(own, path)
-            made.append((f"{folder}/part-{part:06d}-{seq:05d}.wm", part, seq, len(held), len(ids)))
+            made.append((f"{folder}/{name}", part, seq, len(held), len(ids)))
             held, keys, size, seq = [], [], 0, seq + 1
 
         for batch in parts:
@@ -231,7 +227,7 @@ def write_shards(
             c = list(zip(*made))
             yield pa.RecordBatch.from_arrays([pa.array(c[0]), *[pa.array(x, pa.int64()) for x in c[1:]]], names=["path", "part", "seq", "n_docs", "n_tokens"])
 
-    dealt = df.select(F.col(id_col).alias("k"), utf8(text_col).alias("text")).repartitionByRange("k").sortWithinPartitions("k")
+    dealt = df.select(F.col(id_col).alias("k"), utf8(text_col).alias("text"), F.xxhash64(utf8(text_col)).alias("h")).repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "text")
     return written(dealt.mapInArrow(run, "path string, part long, seq long, n_docs long, n_tokens long"), "manifest")
 
 
@@ -259,7 +255,7 @@ def read_shards(manifest: DataFrame, id_type: str = "bigint", id_col: str = "doc
                 crc = [crc32_u32(ids[a:b]) for a, b in zip(lo.tolist(), shard.ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([shard.keys, pa.array(lo + first, pa.int64()), pa.array(shard.ends - lo, pa.int64()), pa.array(crc, pa.int64())], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    tasks = max(1, min(len(sums), 10_000))
+    tasks = max(1, len(sums))
     return placed.select("path", "first").repartitionByRange(tasks, "first").mapInArrow(run, f"`{id_col}` {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
