@@ -8,23 +8,22 @@ from pyspark.sql import functions as F
 from commlens.functions.cleaning import MAIL
 from commlens.functions.headers import let, text, title
 
-# A US number, and the words that tell its kind, in the order in which they are tried.
-NUMBER = r"(\([0-9]{3}\)|[0-9]{3})( {1,2}|[-./])[ ]?[0-9]{3}( {1,2}|[-./])[0-9]{4,5}"
-KINDS = [("office", r"(?i)ph|tel|off|work|desk|direct"), ("cell", r"(?i)cell|mob"), ("fax", r"(?i)fax|facs"), ("home", r"(?i)home|priv")]
+# A US number, and the words on its line that tell its kind, in the order in which they are tried.
+NUMBER = r"(\(?\b[0-9]{3}\)?(?:-|\.|/| {1,2}| - )?[0-9]{3}(?:-|\.|/| {1,2}| - )?[0-9]{4,5}\b)"
+KINDS = {"office": r"(off|ph|tel|dir|voice)", "cell": r"(cell|mobile|mob)", "fax": r"(fax|fx|facs|facsimile|facsim)", "home": r"home"}
 
 
 def phones(c: Column) -> Column:
-    """array<struct<kind, number>>: the first number of each line; the kind by the line's words, else office."""
-    lines = F.filter(F.split(text(c), "\n"), lambda x: F.regexp_like(x, F.lit(NUMBER)))
+    """array<struct<kind, number>>: the first number of each line that has one; the kind by the words of the whole line, else office."""
+    found = F.transform(F.split(text(c), "\n"), lambda x: F.struct(x.alias("line"), F.regexp_extract(x, NUMBER, 1).alias("number")))
 
     def one(x: Column) -> Column:
-        kind = F.lit(None).cast("string")
-        rest = F.regexp_replace(x, NUMBER, " ")
-        for k, p in reversed(KINDS):
-            kind = F.when(F.regexp_like(rest, F.lit(p)), k).otherwise(kind)
-        return F.struct(F.coalesce(kind, F.lit("office")).alias("kind"), F.regexp_extract(x, NUMBER, 0).alias("number"))
+        kind = F.lit("office")
+        for k, p in reversed(KINDS.items()):
+            kind = F.when(F.regexp_like(x["line"], F.lit(f"(?i){p}")), k).otherwise(kind)
+        return F.struct(kind.alias("kind"), x["number"].alias("number"))
 
-    return F.transform(lines, one)
+    return F.transform(F.filter(found, lambda x: x["number"] != ""), one)
 
 
 def phones_of(c: Column, kind: str) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commlens.functions.cleaning import STOPWORDS
@@ -58,26 +59,55 @@ def text_features(c: Column) -> dict[str, Column]:
     }
 
 
-# What the flags look for.
+# What the flags look for, whatever the case of letters.  ``has_css`` needs a brace, which is asked first, as
+# its pattern takes long on lines without one.
 FLAGS = {
-    "is_reply": r"(?i)^\s*(re|aw)\s*:", "is_forward": r"(?i)^\s*(fwd?|wg)\s*:", "has_html_tag": r"(?i)</?(html|body|div|p|br|table|a|span)[\s>/]", "has_css": r"[.#]?[a-z-]+\s*\{[^}]*:[^}]*\}",
-    "has_unsubscribe": r"(?i)unsubscribe", "is_noreply": r"(?i)no-?reply|do-?not-?reply",
+    "is_reply": r"re: ", "is_forward": r"fwd?: ", "has_html_tag": r"<([^\s]+)(\s[^>]*?)?(?<!/)>", "has_css": r"(\#|\.| )[^\n]+\{[^}]+:[^}]+\}",
+    "has_unsubscribe": r"(unsubscribe)|(e-?mail.preferences)", "is_noreply": r"(not?-?reply)|(newsletter)|(info)|(notif(i|y)?)", "has_reply_to": r".+",
 }
+NEEDS = {"has_css": "{", "has_html_tag": "<"}
 
 
 def flag(c: Column, which: str) -> Column:
-    return F.regexp_like(text(c), F.lit(FLAGS[which])).cast("int")
+    """1 or 0: does a field of a mail (subject, body, whole mail, sender or reply-to address, as the flag is about) hold the pattern?"""
+    hit = F.regexp_like(text(c), F.lit("(?i)" + FLAGS[which]))
+    return (F.contains(text(c), F.lit(NEEDS[which])) & hit if which in NEEDS else hit).cast("int")
 
 
 def placeholders(c: Column) -> dict[str, Column]:
     return {f"num_{k.lower()}": F.regexp_count(text(c), F.lit(f"REP_{k}")).cast("long") for k in ("URL", "PHONE", "EMAIL", "NUM")}
 
 
-def names_in_salutation(recipient_names: Column, body: Column) -> Column:
-    """Share of the recipients of whom a name part stands in the first line."""
-    first = F.lower(F.substring_index(text(body), "\n", 1))
-    hits = F.transform(recipient_names, lambda n: F.exists(F.filter(F.split(F.lower(n), r"\s+"), lambda p: F.length(p) > 1), lambda p: F.contains(first, p)).cast("int"))
-    return ratio(F.aggregate(hits, F.lit(0), lambda a, x: a + x), F.size(recipient_names))
+def _name_parts(c: Column) -> Column:
+    return F.filter(F.split(text(c), r"\s+"), lambda x: x != "")
+
+
+def names_in_salutation(names: Column, body: Column, part: int) -> Column:
+    """Share of the recipients (``names``, split at semicolons) whose first (part 0) or last name (1) stands in the body's first line.
+
+    0 if the body is empty or a recipient has no such part.
+    """
+    first = F.get(F.split(text(body), r"\r\n|[\n\r\x0B\f]"), F.lit(0))
+    own = F.transform(F.split(text(names), ";"), lambda n: F.get(_name_parts(n), F.lit(part)))
+    hits = F.aggregate(own, F.lit(0), lambda a, x: a + F.contains(first, x).cast("int"))
+    return F.when((text(body) == "") | F.exists(own, lambda x: x.isNull()), F.lit(0.0)).otherwise(ratio(hits, F.size(own)))
+
+
+def name_in_body(name: Column, body: Column, part: int) -> Column:
+    """1 if the sender's first (part 0) or last name (1) stands in the body; 0 also for a sender without such a part."""
+    return F.coalesce(F.contains(text(body), F.get(_name_parts(name), F.lit(part))), F.lit(False)).cast("int")
+
+
+def recipients_amount(to: Column, cc: Column) -> dict[str, Column]:
+    """Addresses of both fields, split at commas (an empty field has none), and whether there is just one."""
+    n = lambda c: F.when(text(c) == "", F.lit(0)).otherwise(F.size(F.split(c, ",")))
+    amount = (n(to) + n(cc)).cast("long")
+    return {"recipients_amount": amount, "recipients_is_single": (amount == 1)}
+
+
+def is_thread(complete: Column, without_headers: Column) -> Column:
+    """Did the body shrink when its inline headers were removed?"""
+    return F.length(text(complete)) > F.length(text(without_headers))
 
 
 def time_features(ts: Column) -> dict[str, Column]:
@@ -122,3 +152,47 @@ def internal(sender_domain: Column, unique_domains: Column, company: str) -> dic
     s = F.contains(sender_domain, F.lit(company))
     r = F.forall(unique_domains, lambda d: F.contains(d, F.lit(company)))
     return {"sender_internal": s.cast("int"), "recipients_internal": r.cast("int"), "mail_internal": (s & r).cast("int")}
+
+
+def as_integers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Flags and counts as integers; null stays null."""
+    return df.withColumns({c: F.col(c).cast("int") for c in columns})
+
+
+def as_floats(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+def one_hot(df: DataFrame, column: str) -> DataFrame:
+    """A 0/1 column ``<column>_<value>`` for each value, in order, instead of the column; null is 0 in all.
+
+    The values (categories, not rows) are gathered with partial aggregation.
+    """
+    values = sorted(r[0] for r in df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct().collect())
+    return df.withColumns({f"{column}_{v}": F.coalesce(F.col(column).cast("string") == v, F.lit(False)).cast("int") for v in values}).drop(column)
+
+
+def label_encode(df: DataFrame, column: str) -> DataFrame:
+    """The column's values as their numbers in sorted order, from 0; null stays null."""
+    values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+    order = F.create_map(*[F.lit(x) for i, v in enumerate(values) for x in (v, i)]) if values else F.create_map()
+    return df.withColumn(column, F.try_element_at(order, F.col(column)) if values else F.lit(None).cast("int"))
+
+
+def drop_containing(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Without the columns whose names hold any of ``parts``."""
+    return df.drop(*[c for c in df.columns if any(p in c for p in parts)])
+
+
+def drop_prefixed(df: DataFrame, prefixes: list[str]) -> DataFrame:
+    """Without the columns whose names begin with any of ``prefixes`` (as for prediction)."""
+    return df.drop(*[c for c in df.columns if c.startswith(tuple(prefixes))])
+
+
+def append_fields(df: DataFrame, vectors: dict[str, tuple[str, int]]) -> DataFrame:
+    """For each prefix a (vector column, size): columns ``<prefix>_0``, ``<prefix>_1``, ... instead of the vector."""
+    out = df
+    for prefix, (column, size) in vectors.items():
+        a = vector_to_array(F.col(column))
+        out = out.withColumns({f"{prefix}_{i}": a[i] for i in range(size)}).drop(column)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commlens.functions.contacts import organisation
+from commlens.functions.contacts import KINDS, aliases, emails, organisation, phones_of
 
 
 def records(mails: DataFrame) -> DataFrame:
@@ -48,6 +48,42 @@ def by_address(records_: DataFrame, providers: list[str]) -> DataFrame:
     )
 
 
+def contacts(mails: DataFrame) -> DataFrame:
+    """A row for each mail's sender: sender_email_address, sender_name, signature, recipients, and what signature and recipients tell of the sender."""
+    sig, email = F.col("signature"), F.col("sender_email_address")
+    return mails.select(
+        "signature", "sender_email_address", "sender_name", *[phones_of(sig, k).alias(f"phone_numbers_{k}") for k in KINDS],
+        emails(sig).alias("email_addresses_from_signature"), aliases(sig, email).alias("sender_aliases"), F.array_distinct(F.transform("recipients", lambda r: r["email"])).alias("writes_to"),
+    )
+
+
+def merged_contacts(rows: DataFrame) -> DataFrame:
+    """Of ``contacts``: a person for each address, with how often each name stands there, source_count and the union of every list.
+
+    Values are counted by (address, field, value) before they are gathered, so a busy address gathers its different
+    values, not its mails.  Lists are sorted; empty strings and nulls are no values; rows without an address go.
+    """
+    lists = [*[f"phone_numbers_{k}" for k in KINDS], "email_addresses_from_signature", "sender_aliases", "writes_to"]
+    value = lambda field, c: F.struct(F.lit(field).alias("field"), c.alias("value"))
+
+    def values(field: str) -> Column:
+        return F.transform(F.coalesce(field, F.array().cast("array<string>")), lambda x: value(field, x))
+
+    one = F.array(*[value(c, F.coalesce(c, F.lit(""))) for c in ("sender_name", "signature")])
+    every = F.concat(one, *map(values, lists))
+    own = rows.where("sender_email_address <> ''").select(F.col("sender_email_address").alias("email"), F.explode(every).alias("v"))
+    counted = own.groupBy("email", "v.field", "v.value").agg(F.count("*").alias("n"))
+    of = lambda field: F.when((F.col("field") == field) & (F.col("value") != ""), F.col("value"))
+    union = lambda field: F.array_sort(F.collect_list(of(field)))
+    names = F.map_from_entries(F.array_sort(F.collect_list(F.when(of("sender_name").isNotNull(), F.struct("value", "n")))))
+    return counted.groupBy("email").agg(
+        names.alias("identifying_names"), F.sum(F.when(F.col("field") == "sender_name", F.col("n"))).alias("source_count"), *[union(f).alias(f) for f in lists], union("signature").alias("signatures")
+    ).select(
+        F.array("email").alias("email_addresses"), "identifying_names", "source_count", *lists[:5], F.array().cast("array<string>").alias("aliases"),
+        F.col("sender_aliases").alias("aliases_from_signature"), "writes_to", "signatures",
+    )
+
+
 def by_name(persons: DataFrame) -> DataFrame:
     """Persons of one identifying name merged; those without a name stay apart.  Lists are sorted unions, counts are sums."""
     key = F.when(F.col("identifying_name") != "", F.col("identifying_name"))

@@ -14,13 +14,26 @@ def decode_mails(df: DataFrame) -> DataFrame:
     return d.select("doc_id", "path", F.col("d.header").alias("header_text"), F.col("d.body").alias("body"), F.col("d.attachments").alias("attachments"))
 
 
-def split_mails(df: DataFrame) -> DataFrame:
-    """A row for each part of a mail: doc_id with ``_part_i_of_n`` if there are several, its neighbours' ids, header text, body."""
+def split_mails(df: DataFrame, connected: bool = False) -> DataFrame:
+    """A row for each part of a mail: doc_id with ``_part_i_of_n`` if there are several, its neighbours' ids, header text, body.
+
+    ``connected``: one row for each mail, with its own id and the parts as an array of such rows, in order.
+    """
     rows = df.withColumn("parts", parts("header_text", "body")).withColumn("n", F.size("parts"))
-    rows = rows.select("doc_id", "path", "attachments", "n", F.posexplode("parts").alias("pos", "part"))
-    part_id = lambda i: F.when((i < 0) | (i >= F.col("n")), F.lit(None)).when(F.col("n") == 1, F.col("doc_id")).otherwise(F.concat("doc_id", F.lit("_part_"), i.cast("string"), F.lit("_of_"), F.col("n").cast("string")))
-    at = F.col("pos")
-    return rows.select(part_id(at).alias("doc_id"), "path", "attachments", F.col("part.header").alias("header_text"), F.col("part.body").alias("body"), part_id(at - 1).alias("successor"), part_id(at + 1).alias("predecessor"))
+
+    def part_id(i: Column) -> Column:
+        several = F.concat("doc_id", F.lit("_part_"), i.cast("string"), F.lit("_of_"), F.col("n").cast("string"))
+        return F.when((i < 0) | (i >= F.col("n")), F.lit(None)).when(F.col("n") == 1, F.col("doc_id")).otherwise(several)
+
+    def fields(at: Column, part: Column) -> list[Column]:
+        return [
+            part_id(at).alias("doc_id"), "path", "attachments", part["header"].alias("header_text"), part["body"].alias("body"),
+            part_id(at - 1).alias("successor"), part_id(at + 1).alias("predecessor"),
+        ]
+
+    if connected:
+        return rows.select("doc_id", "path", F.transform("parts", lambda p, i: F.struct(*fields(i, p))).alias("parts"))
+    return rows.select("doc_id", "path", "attachments", "n", F.posexplode("parts").alias("pos", "part")).select(*fields(F.col("pos"), F.col("part")))
 
 
 def thread_links(df: DataFrame, thread: str, order: str, id_: Column) -> DataFrame:

@@ -39,10 +39,15 @@ def p14(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", c.alias("c")).select("event_id", "c.date", "c.date_changed")
 
 
+# Written from the survey, not from the operator's patterns: three and three and four or five digits, marks between them or none.
+_PHONE = r"\(?\b\d\d\d\)?(-|\.|/|  | | - )?\d\d\d(-|\.|/|  | | - )?\d\d\d\d\d?\b"
+
+
 @query("p26_phones", f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-p AS (SELECT doc_id, regexp_extract(line, '{contacts.NUMBER}') AS number, regexp_replace(line, '{contacts.NUMBER}', ' ', 'g') AS rest FROM l WHERE regexp_matches(line, '{contacts.NUMBER}'))
-SELECT doc_id, CASE {' '.join(f"WHEN regexp_matches(rest, '{r}') THEN '{k}'" for k, r in contacts.KINDS)} ELSE 'office' END AS kind, number, count(*) AS n FROM p GROUP BY ALL""")
+p AS (SELECT doc_id, lower(line) AS line, regexp_extract(line, '{_PHONE}') AS number FROM l WHERE regexp_matches(line, '{_PHONE}'))
+SELECT doc_id, CASE WHEN regexp_matches(line, 'off|ph|tel|dir|voice') THEN 'office' WHEN regexp_matches(line, 'cell|mob') THEN 'cell' WHEN regexp_matches(line, 'fax|fx|facs') THEN 'fax' WHEN contains(line, 'home') THEN 'home' ELSE 'office' END AS kind,
+ number, count(*) AS n FROM p GROUP BY ALL""")
 def p26(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(contacts.phones(F.col("text"))).alias("p"))
     return rows.groupBy("doc_id", F.col("p.kind").alias("kind"), F.col("p.number").alias("number")).agg(F.count("*").alias("n"))
@@ -111,17 +116,44 @@ def w2(spark, sf_dir):
     return rows.select("doc_id", F.when(F.col("n") > 1, F.concat_ws("_", "doc_id", F.lit("part"), "i", F.lit("of"), "n")).otherwise(F.col("doc_id").cast("string")).alias("part_id"), F.length("part").alias("size"))
 
 
-@query("t1_split_mails", f"WITH {PEOPLE_SQL}, {_LINES} SELECT doc_id, p AS pos, CASE p WHEN 0 THEN doc_id || '_part_0_of_2' ELSE doc_id || '_part_1_of_2' END AS part_id, email AS sender_email FROM mail, (VALUES (0), (1)) v(p)")
-def t1(spark, sf_dir):
+def _quoted(spark, sf_dir):
+    """Each order's mail as one that quotes itself."""
     m = order_mails(spark, sf_dir)
     own = F.regexp_replace("header_text", "(?s)^-+[^\n]*\n", "")
     quoted = F.concat(F.lit("An answer.\n\n-----Original Message-----\n"), own, F.lit("\n\n"), F.col("body"))
-    mails = m.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit("").alias("path"), F.array().cast("array<string>").alias("attachments"), own.alias("header_text"), quoted.alias("body"))
-    parts = threads.split_mails(mails).select(F.col("doc_id").alias("part_id"), headers.header(F.col("header_text"))["sender"]["email"].alias("sender_email"))
+    return m.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit("").alias("path"), F.array().cast("array<string>").alias("attachments"), own.alias("header_text"), quoted.alias("body"))
+
+
+@query("t1_split_mails", f"WITH {PEOPLE_SQL}, {_LINES} SELECT doc_id, p AS pos, CASE p WHEN 0 THEN doc_id || '_part_0_of_2' ELSE doc_id || '_part_1_of_2' END AS part_id, email AS sender_email FROM mail, (VALUES (0), (1)) v(p)")
+def t1(spark, sf_dir):
+    parts = threads.split_mails(_quoted(spark, sf_dir)).select(F.col("doc_id").alias("part_id"), headers.header(F.col("header_text"))["sender"]["email"].alias("sender_email"))
     ids = F.regexp_extract("part_id", "^([0-9]+)_part_([0-9]+)_of", 1).cast("long"), F.regexp_extract("part_id", "^([0-9]+)_part_([0-9]+)_of", 2).cast("int")
     return parts.select(ids[0].alias("doc_id"), ids[1].alias("pos"), "part_id", "sender_email")
 
 
+@query("t2_connected_threads", f"WITH {PEOPLE_SQL}, {_LINES} SELECT doc_id, p AS pos, doc_id || '_part_' || p || '_of_2' AS part_id, CASE p WHEN 1 THEN doc_id || '_part_0_of_2' END AS successor, CASE p WHEN 0 THEN doc_id || '_part_1_of_2' END AS predecessor, email AS sender_email FROM mail, (VALUES (0), (1)) v(p)")
+def t2(spark, sf_dir):
+    whole = threads.split_mails(_quoted(spark, sf_dir), connected=True)
+    rows = whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode("parts").alias("pos", "p"))
+    return rows.select("doc_id", "pos", F.col("p.doc_id").alias("part_id"), "p.successor", "p.predecessor", headers.header(F.col("p.header_text"))["sender"]["email"].alias("sender_email"))
+
+
+@query("a3_merged_contacts", f"""WITH {PEOPLE_SQL}, {_LINES},
+m AS (SELECT doc_id, name, email, '(555) 123-' || lpad((doc_id % 10000)::VARCHAR, 4, '0') AS office, '555.' || (100 + doc_id % 7) || '.1234' AS fax, 'x' || doc_id % 5 || '@home.example.net' AS own FROM mail),
+w AS (SELECT mail.email, list_sort(list(DISTINCT l.email)) AS writes_to FROM lines l JOIN mail ON doc_id = l_orderkey GROUP BY 1)
+SELECT m.email, any_value(name) AS name, count(*) AS source_count, len(list(DISTINCT office))::INT AS n_office, list_sort(list(DISTINCT office))[1] AS first_office, array_to_string(list_sort(list(DISTINCT fax)), ' ') AS fax,
+ array_to_string(list_sort(list(DISTINCT own)), ' ') AS own, len(list(DISTINCT office || fax || own))::INT AS n_signatures, any_value(len(writes_to))::INT AS n_writes_to, any_value(array_to_string(writes_to, ' ')) AS writes_to FROM m JOIN w ON w.email = m.email GROUP BY 1""")
+def a3_contacts(spark, sf_dir):
+    k = F.col("doc_id")
+    sig = F.concat(F.lit("Office: (555) 123-"), F.lpad((k % 10000).cast("string"), 4, "0"), F.lit("\nFax 555."), (100 + k % 7).cast("string"), F.lit(".1234\nx"), (k % 5).cast("string"), F.lit("@home.example.net"))
+    mails = _parsed(spark, sf_dir).select(sig.alias("signature"), F.col("header.sender.email").alias("sender_email_address"), F.col("header.sender.name").alias("sender_name"), F.col("header.recipients").alias("recipients"))
+    p = persons.merged_contacts(persons.contacts(mails))
+    return p.select(
+        F.col("email_addresses")[0].alias("email"), F.map_keys("identifying_names")[0].alias("name"), "source_count", F.size("phone_numbers_office").alias("n_office"), F.col("phone_numbers_office")[0].alias("first_office"),
+        F.array_join("phone_numbers_fax", " ").alias("fax"), F.array_join("email_addresses_from_signature", " ").alias("own"), F.size("signatures").alias("n_signatures"), F.size("writes_to").alias("n_writes_to"), F.array_join("writes_to", " ").alias("writes_to"),
+    )
+
+
 _RECORDS = f"""
 WITH {PEOPLE_SQL}, {_LINES}, rec AS (SELECT name, email, doc_id FROM mail UNION ALL SELECT l.name, l.email, doc_id FROM lines l JOIN mail ON doc_id = l_orderkey)"""
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from commlens.functions import cleaning as cl
 from commlens.functions import features as ft
 from commlens.functions.language import WORDS, entities, language
-from commlens.functions.mime import text_of_html, without_inline_headers
+from commlens.functions.mime import decoded, text_of_html, without_inline_headers
 from commlens.operators import models, phrases
 from commlens.operators.topics import top_k
 from commlens.plans.mails import table
 from commlens.plans.registry import query
+from commlens.sources import readers, sinks
+from commlens.tables import shared_path
 
 
 def _docs(spark, sf_dir):
@@ -149,10 +152,12 @@ def x2(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", *[(F.round(c, 6) if k in ("ari", "lix") else c).alias(k) for k, c in f.items()])
 
 
-_FLAG_SQL = ", ".join(f"regexp_matches({_T}, '{p}')::INT AS {k}" for k, p in ft.FLAGS.items())
-
-
-@query("x9_flags", f"SELECT doc_id, {_FLAG_SQL} FROM documents")
+# Written from the survey: RE2 has no look-behind, so a tag that does not end in a slash is said with character classes.
+@query("x9_flags", f"""
+WITH t AS (SELECT doc_id, {_T} AS text, lower({_T}) AS low FROM documents)
+SELECT doc_id, contains(low, 're: ')::INT AS is_reply, (contains(low, 'fw: ') OR contains(low, 'fwd: '))::INT AS is_forward,
+ regexp_matches(text, '<[^\\s]*[^\\s/]>|<[^\\s]+\\s([^>]*[^>/])?>')::INT AS has_html_tag, regexp_matches(text, '[# .][^\\n]+[{{][^}}]+:[^}}]+[}}]')::INT AS has_css,
+ (contains(low, 'unsubscribe') OR regexp_matches(low, 'e-?mail.preferences'))::INT AS has_unsubscribe, regexp_matches(low, 'no-?reply|not-?reply|newsletter|info|notif')::INT AS is_noreply, (length(replace(text, chr(10), '')) > 0)::INT AS has_reply_to FROM t""")
 def x9(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", *[ft.flag(F.col("text"), k).alias(k) for k in ft.FLAGS])
 
@@ -194,12 +199,76 @@ def x16(spark, sf_dir):
     return d.select("doc_id", F.size("u").alias("n_domains"), "most_frequent_domain", ft.internal(F.lit("x.example"), F.col("u"), "example")["recipients_internal"].alias("recipients_internal"))
 
 
-@query("x8_names_in_salutation", f"""
-WITH t AS (SELECT doc_id, lower(split_part({_T}, chr(10), 1)) AS first FROM documents)
-SELECT doc_id, round((contains(first, 'the')::INT + (contains(first, 'der') OR contains(first, 'die'))::INT + contains(first, 'les')::INT) / 3.0, 6)::DOUBLE AS share FROM t""")
+@query("x8_names", f"""
+WITH t AS (SELECT doc_id, {_T} AS text, string_split({_T}, chr(10))[1] AS first, upper(lang[1]) || lang[2:] AS l, source AS s, regexp_extract({_T}, '[A-Za-z]+') AS w FROM documents)
+SELECT doc_id, CASE WHEN text = '' OR w = '' THEN 0.0 ELSE round((contains(first, l)::INT + contains(first, 'The')::INT + contains(first, w)::INT) / 3.0, 6) END::DOUBLE AS first_names,
+ CASE WHEN text = '' OR w = '' THEN 0.0 ELSE round((contains(first, s)::INT + contains(first, w)::INT + contains(first, 'en')::INT) / 3.0, 6) END::DOUBLE AS last_names,
+ (w <> '' AND contains(text, w))::INT AS sender_first, 0 AS sender_last FROM t""")
 def x8(spark, sf_dir):
-    names = F.array(F.lit("The"), F.lit("Der Die"), F.lit("L Les"))
-    return _docs(spark, sf_dir).select("doc_id", F.round(ft.names_in_salutation(names, F.col("text")), 6).alias("share"))
+    w = F.regexp_extract(F.coalesce("text", F.lit("")), "[A-Za-z]+", 0)
+    lang = F.concat(F.upper(F.substring("lang", 1, 1)), F.substring("lang", 2, 99))
+    names = F.concat_ws(";", F.concat_ws(" ", lang, F.col("source")), F.concat_ws(" ", F.lit("The"), w), F.when(w == "", "").otherwise(F.concat_ws(" ", w, F.lit("en"))))
+    share = lambda part: F.round(ft.names_in_salutation(names, F.col("text"), part), 6)
+    return _docs(spark, sf_dir).select("doc_id", share(0).alias("first_names"), share(1).alias("last_names"), ft.name_in_body(w, F.col("text"), 0).alias("sender_first"), ft.name_in_body(w, F.col("text"), 1).alias("sender_last"))
+
+
+@query("x14_x15_y4_encodings", """
+SELECT n_nationkey, (n_regionkey = 0)::INT AS n_regionkey_0, (n_regionkey = 1)::INT AS n_regionkey_1, (n_regionkey = 2)::INT AS n_regionkey_2, (n_regionkey = 3)::INT AS n_regionkey_3, (n_regionkey = 4)::INT AS n_regionkey_4,
+ (dense_rank() OVER (ORDER BY n_name) - 1)::INT AS n_name, (n_nationkey > 9)::INT AS large, n_nationkey::DOUBLE AS b_0, n_regionkey::DOUBLE AS b_1 FROM nation""")
+def x14(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").withColumn("large", F.col("n_nationkey") > 9).withColumn("v", array_to_vector(F.array(F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double"))))
+    n = ft.append_fields(ft.as_integers(n, ["large"]), {"b": ("v", 2)})
+    return ft.drop_containing(ft.label_encode(ft.one_hot(n, "n_regionkey"), "n_name"), ["comment"])
+
+
+@query("x19_x28_x29_recipients", """
+WITH n AS (SELECT l_orderkey AS doc_id, count(*) FILTER (l_linenumber <= 3) + count(*) FILTER (l_linenumber > 3) AS recipients_amount FROM lineitem GROUP BY 1)
+SELECT doc_id, recipients_amount, (recipients_amount = 1)::INT AS recipients_is_single, (recipients_amount <= 1)::INT AS to_1, (recipients_amount BETWEEN 2 AND 10)::INT AS to_10, (recipients_amount > 10)::INT AS over_10 FROM n""")
+def x19(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"))
+    who = lambda keep: F.concat_ws(", ", F.collect_list(F.when(keep, F.col("l_suppkey").cast("string"))))  # noqa: E731  an order's lines
+    d = li.agg(who(F.col("l_linenumber") <= 3).alias("to"), who(F.col("l_linenumber") > 3).alias("cc"))
+    own = ft.recipients_amount(F.col("to"), F.col("cc"))
+    d = ft.as_integers(d.select("doc_id", *[c.alias(k) for k, c in own.items()]), ["recipients_is_single"])
+    d = d.select("*", *[c.alias(k) for k, c in ft.bins(F.col("recipients_amount"), "feat_recipients_amount", [1, 10]).items()], F.lit(1).alias("feat_body_length_1"))
+    d = d.withColumnsRenamed({f"feat_recipients_amount_{k}": k for k in ("to_1", "to_10", "over_10")})
+    return ft.drop_prefixed(d, ["feat_body_length"])
+
+
+@query("x20_is_thread", f"SELECT doc_id, doc_id % 3 = 0 AND NOT contains({_T}, 'From:') AS email_is_thread FROM documents")
+def x20(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    complete = F.when((F.col("doc_id") % 3 == 0) & ~F.contains(text, F.lit("From:")), F.concat(F.lit("Hello\nFrom: a@b.example\nTo: c@d.example\nSubject: old\n"), text)).otherwise(text)
+    d = _docs(spark, sf_dir).select("doc_id", complete.alias("body"))
+    return d.select("doc_id", ft.is_thread(F.col("body"), without_inline_headers(F.col("body"))).alias("email_is_thread"))
+
+
+@query("p1_p6_decoded", f"""
+SELECT doc_id, md5(CASE WHEN trim(replace(replace({_T}, chr(10), ''), chr(9), '')) = '' THEN '[Empty message]' ELSE {_T} END) AS body, 'Subject: Straße ' || doc_id || chr(10) AS subject,
+ CASE doc_id % 2 WHEN 0 THEN 'n' || doc_id || '.bin' END AS attachment, 0 AS defects FROM documents""")
+def p1(spark, sf_dir):
+    """Whole texts as base64 parts of MIME mails, every other one beside an attachment, decoded again."""
+    d, k = _docs(spark, sf_dir), F.col("doc_id").cast("string")
+    # No text part is HTML or broken UTF-8 here, so that the body must come back as it was.
+    b64 = F.regexp_replace(F.base64(F.coalesce("text", F.lit("")).cast("binary")), "\r", "")
+    subject = F.concat(F.lit("Subject: =?utf-8?B?"), F.base64(F.concat(F.lit("Straße "), k).cast("binary")), F.lit("?=\nX-Trace: gone\nMIME-Version: 1.0\n"))
+    part = F.concat(F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n\n"), b64, F.lit("\n"))
+    both = F.concat(
+        F.lit("Content-Type: multipart/mixed; boundary=zzz\n\n--zzz\n"), part, F.lit("--zzz\nContent-Type: application/octet-stream\nContent-Disposition: attachment; filename=n"), k,
+        F.lit(".bin\nContent-Transfer-Encoding: base64\n\nAAECAw==\n--zzz--\n"),
+    )
+    raw = F.concat(subject, F.when(F.col("doc_id") % 2 == 0, both).otherwise(part))
+    got = d.select("doc_id", decoded(raw).alias("m"))
+    return got.select("doc_id", F.md5("m.body").alias("body"), F.col("m.header").alias("subject"), F.get("m.attachments", F.lit(0)).alias("attachment"), F.col("m.defects").alias("defects"))
+
+
+@query("s2_s5_json_lines", "SELECT doc_id, md5(coalesce(text, '')) AS h, lang, source, n_chars FROM documents")
+def s5(spark, sf_dir):
+    """Documents written as JSON lines and read again."""
+    at = shared_path(spark, "json-lines")
+    sinks.json_lines(_docs(spark, sf_dir), at)
+    back = readers.json_lines(spark, at, "doc_id long, text string, lang string, source string, n_chars long")
+    return back.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("h"), "lang", "source", "n_chars")
 
 
 @query("y6_no_nulls", "SELECT doc_id FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL")

@@ -62,7 +62,7 @@ def test_split():
 
 @pytest.mark.parametrize("line,kinds", [
     ("Ph: (713) 555-1234\nFax: (713) 555-9876", ["office", "fax"]), ("Phone: 713/555-1234\nFax: 713/555-0000\nHome: 713/555-2222", ["office", "fax", "home"]),
-    ("(713) 555-1234 (Office)\n(713) 555-1235 (Cell)\n(713) 555-1236 (fax)", ["office", "cell", "fax"]), ("none", []),
+    ("(713) 555-1234 (Office)\n(713) 555-1235 (Cell)\n(713) 555-1236 (fax)", ["office", "cell", "fax"]), ("none", []), ("5551234567", ["office"]), ("555 - 123 - 4567 mob", ["cell"]), ("x5551234567", []), ("555123456789", []), ("Voice 555  123  45678", ["office"]),
 ])
 def test_phones(spark, line, kinds):
     got = spark.createDataFrame([(line,)], "s string").select(contacts.phones(F.col("s")).alias("p")).first().p

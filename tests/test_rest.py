@@ -84,6 +84,51 @@ def test_threads_and_persons(spark):
     assert sorted(r.identifying_name for r in merged) == ["Bob Ray", "Jane Doe"]
 
 
+def test_connected_threads(spark):
+    raw = "From: A <a@b.com>\nSubject: s\n\nHi\n\n-----Original Message-----\nFrom: C <c@b.com>\nSubject: t\n\nYo\n"
+    mails = threads.decode_mails(spark.createDataFrame([("m", "p", raw), ("n", "p", None)], "doc_id string, path string, raw string"))
+    whole = {r.doc_id: r.parts for r in threads.split_mails(mails, connected=True).collect()}
+    flat = threads.split_mails(mails).collect()
+    assert [(p.doc_id, p.body, p.successor, p.predecessor) for k in ("m", "n") for p in whole[k]] == [(r.doc_id, r.body, r.successor, r.predecessor) for r in sorted(flat, key=lambda r: r.doc_id)]
+
+
+def test_merged_contacts(spark):
+    kind = "signature string, sender_email_address string, sender_name string, recipients array<struct<name: string, email: string>>"
+    rows = [
+        ("Jane Doe\nPh: 713-555-1234\nFax: 7135550000\nme@home.example", "jane.doe@x.com", "Jane Doe", [("B", "b@x.com"), ("B", "b@x.com")]),
+        ("Jane\nPh: 713-555-1234\nCell: 555 - 123 - 4567", "jane.doe@x.com", "Jane D.", [("C", "c@x.com")]), (None, "jane.doe@x.com", None, None), ("x", "", "Nobody", []), ("x", None, "Nobody", []),
+    ]
+    got = persons.merged_contacts(persons.contacts(spark.createDataFrame(rows, kind))).collect()
+    assert len(got) == 1
+    p = got[0]
+    assert p.email_addresses == ["jane.doe@x.com"] and p.identifying_names == {"Jane Doe": 1, "Jane D.": 1} and p.source_count == 3
+    assert (p.phone_numbers_office, p.phone_numbers_cell, p.phone_numbers_fax, p.phone_numbers_home) == (["713-555-1234"], ["555 - 123 - 4567"], ["7135550000"], [])
+    assert p.email_addresses_from_signature == ["me@home.example"] and p.writes_to == ["b@x.com", "c@x.com"] and len(p.signatures) == 2
+    assert p.aliases_from_signature == ["Jane", "Jane Doe"] and p.aliases == []
+
+
+def test_feature_columns(spark):
+    from commlens.functions import features as ft
+
+    one = lambda c: spark.range(1).select(c.alias("c")).first().c
+    lit = F.lit
+    assert [one(ft.flag(lit(x), "is_noreply")) for x in ("no-reply@a.b", "noreply@a.b", "newsletter@a.b", "info@a.b", "notify@a.b", "jane@a.b", None)] == [1, 1, 1, 1, 1, 0, 0]
+    assert [one(ft.flag(lit(x), "has_unsubscribe")) for x in ("Unsubscribe here", "your e-mail preferences", "email preferences", "none")] == [1, 1, 1, 0]
+    assert [one(ft.flag(lit(x), "has_html_tag")) for x in ("<b>", "<br/>", '<a href="x">', "a < b", "<br />")] == [1, 0, 1, 0, 0]
+    assert [one(ft.flag(lit(x), "is_reply")) for x in ("RE: a", "Re:a")] == [1, 0] and one(ft.flag(lit("FWD: a"), "is_forward")) == 1 and [one(ft.flag(lit(x), "has_reply_to")) for x in ("a@b", "")] == [1, 0]
+    assert one(ft.flag(lit("p #x {a: b}"), "has_css")) == 1 and one(ft.flag(lit(". " * 60_000), "has_css")) == 0
+    names = lit("Jane Doe;Bob Ray")
+    assert one(ft.names_in_salutation(names, lit("Hi Jane\nBob"), 0)) == 0.5 and one(ft.names_in_salutation(names, lit("Doe and Ray"), 1)) == 1.0
+    assert one(ft.names_in_salutation(lit("Jane"), lit("Jane"), 1)) == 0.0 and one(ft.names_in_salutation(names, lit(None).cast("string"), 0)) == 0.0
+    assert one(ft.name_in_body(lit("Jane Doe"), lit("yours, Doe"), 1)) == 1 and one(ft.name_in_body(lit(""), lit("x"), 0)) == 0
+    amount = ft.recipients_amount(lit("a@b, c@d"), lit(""))
+    assert one(amount["recipients_amount"]) == 2 and one(amount["recipients_is_single"]) is False
+    df = spark.createDataFrame([("b", True), ("a", False), (None, None)], "k string, f boolean")
+    assert sorted(ft.label_encode(df, "k").select("k").toPandas().k.dropna().tolist()) == [0, 1] and ft.one_hot(df, "k").columns == ["f", "k_a", "k_b"]
+    assert [r.f for r in ft.as_integers(df, ["f"]).collect()] == [1, 0, None] and ft.drop_prefixed(df, ["k"]).columns == ["f"] and ft.drop_containing(df, ["f"]).columns == ["k"]
+    assert ft.label_encode(df.limit(0), "k").count() == 0 and ft.one_hot(df.limit(0), "k").columns == ["f"]
+
+
 def test_windows_covering():
     rng = random.Random(1)
     for _ in range(500):
@@ -122,7 +167,7 @@ def test_streams(spark, tmp_path):
 
 
 #: Queries whose plans are cheap enough to run here one by one; the driver compares all.
-CHECKED = ["p14_clamped_dates", "p26_phones", "p27_emails", "p19_without_headers", "p20_strict", "x2_x7_text_features", "x11_x26_time_features", "a1_longest_of_each", "a2_content_id", "w1_thread_links", "w2_part_ids", "y11_line_blocks", "s11_a11_edges", "j3_responses", "a9_frequent_terms", "a8_buckets_month", "m5_hellinger", "m7_nearest"]
+CHECKED = ["p14_clamped_dates", "p26_phones", "p27_emails", "p19_without_headers", "p20_strict", "x2_x7_text_features", "x11_x26_time_features", "a1_longest_of_each", "a2_content_id", "w1_thread_links", "w2_part_ids", "y11_line_blocks", "s11_a11_edges", "j3_responses", "a9_frequent_terms", "a8_buckets_month", "m5_hellinger", "m7_nearest", "x8_names", "x9_flags", "x14_x15_y4_encodings", "x19_x28_x29_recipients", "x20_is_thread", "p1_p6_decoded", "s2_s5_json_lines"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
