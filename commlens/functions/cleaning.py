@@ -111,8 +111,7 @@ STOPWORDS = sorted(set("a about after all also am an and any are as at be becaus
 def bag_of_words(c: Column, names: Column | None = None) -> Column:
     """Lower-case words of three letters and more, without stopwords and parts of the given names."""
     words = F.regexp_extract_all(F.lower(drop(c, URL, MAIL, PHONE, by=" ")), F.lit(r"[a-zà-öø-ÿ]+"), F.lit(0))
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
-    kept = F.filter(words, lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
+    kept = F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(STOPWORDS))  # a hash set
     if names is None:
         return kept
     parts = F.flatten(F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.split(F.lower(n), r"[^a-zà-öø-ÿ]+")))

@@ -47,14 +47,13 @@ def recipients(c: Column) -> Column:
 
 def text_features(c: Column) -> dict[str, Column]:
     w, s = words(c), sentences(c)
-    stop = F.array(*[F.lit(x) for x in STOPWORDS])
     n_words, n_sent, n_chars = F.size(w).cast("long"), F.size(s).cast("long"), F.length(text(c)).cast("long")
     longer, longest = count_if(w, lambda x: F.length(x) >= 6), count_if(w, lambda x: F.length(x) > 6)
     ari = F.when((n_words == 0) | (n_sent == 0), F.lit(0.0)).otherwise(4.71 * ratio(n_chars, n_words) + 0.5 * ratio(n_words, n_sent) - 21.43)
     lix = F.when((n_words == 0) | (n_sent == 0), F.lit(0.0)).otherwise(ratio(n_words, n_sent) + 100 * ratio(longest, n_words))
     return {
         "num_sentences": n_sent, "num_words": n_words, "num_chars": n_chars,
-        "num_unique_words": F.size(F.array_distinct(F.filter(F.transform(w, F.lower), lambda x: ~F.array_contains(stop, x)))).cast("long"),
+        "num_unique_words": F.size(F.array_distinct(F.filter(F.transform(w, F.lower), lambda x: ~x.isin(STOPWORDS)))).cast("long"),
         "median_sentence_length": median(F.transform(s, F.length)), "num_long_words": longer, "ari": ari, "lix": lix,
     }
 

@@ -6,6 +6,7 @@ Iterations write their state after each round, so the plan stays short and a los
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -203,21 +204,23 @@ def clique_scores(e: DataFrame, weight: DataFrame | None = None) -> DataFrame:
     return s
 
 
-def distances(e: DataFrame, limit: int = 100) -> DataFrame:
+def distances(e: DataFrame) -> DataFrame:
     """(node, other, steps) along directed edges for every pair that is connected, the node itself with 0.
 
-    A frontier goes one step a round.  The result has a row for each connected pair, as the score needs it.
+    A frontier goes one step a round, until it is empty.  The result has a row for each connected pair, as the score needs it.
     """
     step = written(without_loops(e).select("src", "dst").distinct(), "steps")
     seen = written(nodes_of(e).select("node", F.col("node").alias("other"), F.lit(0).alias("steps")), "reached")
     front = seen
-    for k in range(1, limit + 1):
+    for k in count(1):
         nxt = front.join(step, front.other == step.src).select("node", F.col("dst").alias("other")).distinct()
         front = written(nxt.join(seen.select("node", "other"), ["node", "other"], "left_anti").select("node", "other", F.lit(k).alias("steps")), "front")
         if not front.limit(1).count():
             return seen
         seen = seen.unionAll(front)
-    raise ValueError(f"paths of more than {limit} steps")
+        if k % 16 == 0:
+            seen = written(seen, "reached")  # a plan of few tables, however long the paths are
+    raise AssertionError
 
 
 def mean_shortest_paths(e: DataFrame) -> DataFrame:
@@ -272,8 +275,11 @@ def hierarchy(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     return df.withColumn("hierarchy", F.bround(total / len(weights)).cast("long"))
 
 
-def communities(e: DataFrame, rounds: int = 20) -> DataFrame:
-    """(node, community) by label propagation: each round every node takes the most frequent label around it and its own (ties: the smallest)."""
+def labels_propagated(e: DataFrame, rounds: int = 20) -> DataFrame:
+    """(node, community) by label propagation: each round every node takes the most frequent label around it and its own (ties: the smallest).
+
+    May go back and forth without end, hence ``rounds``.
+    """
     both = written(both_ways(e), "pairs")
     label = written(nodes_of(e).select("node", F.col("node").alias("label")), "labels")
     for _ in range(rounds):
@@ -287,6 +293,71 @@ def communities(e: DataFrame, rounds: int = 20) -> DataFrame:
     return label.select("node", F.col("label").alias("community"))
 
 
+def communities(e: DataFrame) -> DataFrame:
+    """(node, community): greedy agglomeration by modularity, from single nodes until no merge raises it.
+
+    Merging a and b raises modularity by w(a, b) / m - d(a) d(b) / 2m^2 (m edges, w of them between a and b, d sums of
+    degrees).  Each round every community names the neighbour with the greatest gain (ties: the smaller pair of names),
+    and all pairs that name each other merge at once, the greatest gain of all among them; so a round merges many
+    pairs where one by one would take as many rounds as nodes.  A community is called by its smallest node.
+    """
+    pairs = written(both_ways(e), "pairs")
+    m = pairs.count() / 2
+    label = written(nodes_of(e).select("node", F.col("node").alias("label")), "labels")
+    between = written(pairs.select("a", "b", F.lit(1).cast("long").alias("w")), "between")
+    degree = written(pairs.groupBy("a").agg(F.count("*").alias("d")), "degrees")
+    while m:
+        own, other = degree.select("a", F.col("d").alias("da")), degree.select(F.col("a").alias("b"), F.col("d").alias("db"))
+        gain = F.col("w") / m - F.col("da") * F.col("db") / (2 * m * m)
+        best = between.join(own, "a").join(other, "b").withColumn("gain", gain).where("gain > 1e-12")
+        best = best.groupBy("a").agg(F.min_by("b", F.struct(-F.col("gain"), F.least("a", "b"), F.greatest("a", "b"))).alias("b"))
+        best = written(best, "best")
+        merged = best.join(best.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_semi").where("a < b")
+        merged = written(merged.select(F.col("b").alias("old"), F.col("a").alias("new")), "merged")
+        if not merged.limit(1).count():
+            break
+
+        def renamed(df: DataFrame, column: str, merged: DataFrame = merged) -> DataFrame:
+            return df.join(merged, df[column] == merged.old, "left").withColumn(column, F.coalesce("new", column)).drop("old", "new")
+
+        label = written(renamed(label, "label"), "labels")
+        between = written(renamed(renamed(between, "a"), "b").where("a <> b").groupBy("a", "b").agg(F.sum("w").alias("w")), "between")
+        degree = written(renamed(degree, "a").groupBy("a").agg(F.sum("d").alias("d")), "degrees")
+    return label.select("node", F.col("label").alias("community"))
+
+
+def modularity(e: DataFrame, parts: DataFrame) -> float:
+    """Modularity of a division (node, community) of the undirected graph; 0 without edges."""
+    pairs = both_ways(e).join(parts.select(F.col("node").alias("a"), F.col("community").alias("ca")), "a").join(parts.select(F.col("node").alias("b"), F.col("community").alias("cb")), "b")
+    per = pairs.groupBy("ca").agg(F.count("*").alias("d"), F.sum((F.col("ca") == F.col("cb")).cast("long")).alias("inside"))
+    r = per.agg(F.sum("d").alias("m2"), F.sum("inside").alias("i"), F.sum(F.col("d").cast("double") * F.col("d")).alias("dd")).first()
+    return r["i"] / r["m2"] - r["dd"] / r["m2"] ** 2 if r["m2"] else 0.0
+
+
+def closeness(e: DataFrame) -> DataFrame:
+    """(node, closeness, farness, eccentricity) over the nodes that a node reaches along directed edges.
+
+    closeness: (r - 1) / sum of steps, times (r - 1) / (n - 1), for r reached nodes of n; farness: mean steps to the
+    others; eccentricity: most steps.  A node that reaches none has 0 in all.
+    """
+    n = nodes_of(e).count()
+    d = distances(e).where("node <> other").groupBy("node").agg(F.count("*").alias("r"), F.sum("steps").alias("s"), F.max("steps").alias("eccentricity"))
+    d = d.select("node", (F.col("r") / F.col("s") * F.col("r") / max(1, n - 1)).alias("closeness"), (F.col("s") / F.col("r")).alias("farness"), "eccentricity")
+    return nodes_of(e).join(d, "node", "left").select("node", *[F.coalesce(c, F.lit(0.0) if c != "eccentricity" else F.lit(0)).alias(c) for c in ("closeness", "farness", "eccentricity")])
+
+
+def eigenvector_centrality(e: DataFrame, rounds: int = 100) -> DataFrame:
+    """(node, eigenvector): the undirected graph's leading eigenvector, of length 1, by ``rounds`` power iterations with a shift by one."""
+    pairs = written(both_ways(e), "pairs")
+    x = written(nodes_of(e).select("node", F.lit(1.0).alias("x")), "vector")
+    for _ in range(rounds):
+        got = pairs.join(x, pairs.b == x.node).groupBy(F.col("a").alias("node")).agg(F.sum("x").alias("got"))
+        raw = written(x.join(got, "node", "left").select("node", (F.col("x") + F.coalesce("got", F.lit(0.0))).alias("x")), "vector")
+        length = raw.agg(F.sum(F.col("x") * F.col("x"))).first()[0]
+        x = raw.select("node", (F.col("x") / F.lit((length or 1.0) ** 0.5)).alias("x"))
+    return x.select("node", F.col("x").alias("eigenvector"))
+
+
 def roles(metrics: DataFrame, columns: list[str], k: int = 4, seed: int = 1) -> DataFrame:
     """(node, role): k-means over scaled structural metrics."""
     from pyspark.ml import Pipeline

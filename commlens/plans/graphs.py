@@ -70,7 +70,15 @@ def g6(spark, sf_dir):
     return graph.hits(trade(spark, sf_dir), 10).select("node", F.round("hub", 6).alias("hub"), F.round("authority", 6).alias("authority"))
 
 
-@query("g1_pagerank")
+def _pagerank_sql(rounds: int) -> str:
+    ctes = ["o AS (SELECT src, sum(volume) AS o FROM e GROUP BY 1)", "k AS (SELECT count(*) AS n FROM nodes)", "r0 AS MATERIALIZED (SELECT node, 1.0::DOUBLE / (SELECT n FROM k) AS rank FROM nodes)"]
+    for i in range(1, rounds + 1):
+        ctes.append(f"x{i} AS (SELECT coalesce(sum(rank), 0) AS loose FROM r{i - 1} WHERE node NOT IN (SELECT src FROM o)), y{i} AS (SELECT e.dst AS node, sum(volume::DOUBLE / o * rank) AS got FROM e JOIN o ON o.src = e.src JOIN r{i - 1} ON node = e.src GROUP BY 1)")
+        ctes.append(f"r{i} AS MATERIALIZED (SELECT nodes.node, (0.15 + 0.85 * loose) / n + 0.85 * coalesce(got, 0) AS rank FROM nodes LEFT JOIN y{i} ON y{i}.node = nodes.node, x{i}, k)")
+    return f"WITH {TRADE_SQL}, {', '.join(ctes)} SELECT node, round(rank, 6)::DOUBLE AS rank FROM r{rounds}"
+
+
+@query("g1_pagerank", _pagerank_sql(20))
 def g1(spark, sf_dir):
     return graph.pagerank(trade(spark, sf_dir), 20).select("node", F.round("rank", 6).alias("rank"))
 
@@ -112,11 +120,35 @@ def g11m(spark, sf_dir):
     return graph.mean_shortest_paths(trade(spark, sf_dir)).select("node", F.round("mean_shortest_paths", 6).alias("mean_shortest_paths"))
 
 
-@query("g12_betweenness")
+@query("g12_betweenness", f"""{_DIST},
+p AS (SELECT node, node AS other, 0 AS steps FROM nodes UNION ALL SELECT p.node, dst, p.steps + 1 FROM p JOIN step ON p.other = src JOIN d ON d.node = p.node AND d.other = dst AND d.steps = p.steps + 1),
+c AS (SELECT node, other, steps, count(*)::DOUBLE AS c FROM p GROUP BY ALL),
+b AS (SELECT x.other AS node, sum(x.c * y.c / z.c) AS b FROM c x JOIN c y ON y.node = x.other JOIN c z ON z.node = x.node AND z.other = y.other AND z.steps = x.steps + y.steps WHERE x.steps > 0 AND y.steps > 0 GROUP BY 1)
+SELECT nodes.node, round(coalesce(b, 0) / ((SELECT count(*) FROM nodes) - 1) / ((SELECT count(*) FROM nodes) - 2), 6)::DOUBLE AS betweenness FROM nodes LEFT JOIN b ON b.node = nodes.node""")
 def g12(spark, sf_dir):
     return graph.betweenness(written(trade(spark, sf_dir), "trade")).select("node", F.round("betweenness", 6).alias("betweenness"))
 
 
+@query("g16_closeness", f"""{_DIST}, m AS (SELECT node, count(*) AS r, sum(steps) AS s, max(steps) AS x FROM d WHERE node <> other GROUP BY 1)
+SELECT nodes.node, round(coalesce(r::DOUBLE / s * r / ((SELECT count(*) FROM nodes) - 1), 0), 6)::DOUBLE AS closeness, round(coalesce(s::DOUBLE / r, 0), 6)::DOUBLE AS farness, coalesce(x, 0)::INT AS eccentricity FROM nodes LEFT JOIN m ON m.node = nodes.node""")
+def g16(spark, sf_dir):
+    c = graph.closeness(written(trade(spark, sf_dir), "trade"))
+    return c.select("node", F.round("closeness", 6).alias("closeness"), F.round("farness", 6).alias("farness"), "eccentricity")
+
+
+def _eigenvector_sql(rounds: int) -> str:
+    ctes = ["v0 AS MATERIALIZED (SELECT node, 1.0::DOUBLE AS x FROM nodes)"]
+    for i in range(1, rounds + 1):
+        ctes.append(f"s{i} AS MATERIALIZED (SELECT v.node, any_value(v.x) + coalesce(sum(u.x), 0) AS x FROM v{i - 1} v LEFT JOIN adj ON a = v.node LEFT JOIN v{i - 1} u ON u.node = b GROUP BY 1)")
+        ctes.append(f"v{i} AS MATERIALIZED (SELECT node, x / sqrt((SELECT sum(x * x) FROM s{i})) AS x FROM s{i})")
+    return f"WITH {TRADE_SQL}, {', '.join(ctes)} SELECT node, round(x, 6)::DOUBLE AS eigenvector FROM v{rounds}"
+
+
+@query("g16_eigenvector", _eigenvector_sql(30))
+def g16e(spark, sf_dir):
+    return graph.eigenvector_centrality(trade(spark, sf_dir), 30).select("node", F.round("eigenvector", 6).alias("eigenvector"))
+
+
 def _metrics(spark, sf_dir):
     m = written(_messages(spark, sf_dir), "messages")
     n = graph.number_of_emails(edges.weights(m))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from commlens.functions import cleaning as cl
 from commlens.functions import features as ft
+from commlens.functions import zones
 from commlens.functions.language import WORDS, entities, language
 from commlens.functions.mime import decoded, text_of_html, without_inline_headers
 from commlens.operators import models, phrases
@@ -14,7 +15,7 @@ from commlens.operators.topics import top_k
 from commlens.plans.mails import table
 from commlens.plans.registry import query
 from commlens.sources import readers, sinks
-from commlens.tables import shared_path
+from commlens.tables import shared_path, written
 
 
 def _docs(spark, sf_dir):
@@ -33,6 +34,8 @@ def _chain(expr: str, patterns: list[str], by: str = "") -> str:
 
 
 _T = "coalesce(text, '')"
+#: A mail around the text: a quoted header with a wrapped address list, an empty line, a quoted line.
+_M = "'-----Original Message-----' || chr(10) || 'From: a' || chr(10) || 'To: b,' || chr(10) || '  c,' || chr(10) || '  d' || chr(10) || 'Subject: s' || chr(10) || chr(10) || '> quoted' || chr(10) || '>' || chr(10) || coalesce(text, '')"
 _SQUEEZE = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
 
 
@@ -281,33 +284,30 @@ def y8(spark, sf_dir):
     return _docs(spark, sf_dir).where(F.length("text") >= 100).select("doc_id", "n_chars")
 
 
-@query("y11_line_blocks", f"""
-WITH l AS (SELECT doc_id, generate_subscripts(string_split({_T}, chr(10)), 1) AS i, unnest(string_split({_T}, chr(10))) AS line FROM documents),
-k AS (SELECT doc_id, i, CASE WHEN trim(line) = '' THEN 'blank' WHEN regexp_matches(line, '^[-*•] ') THEN 'list' ELSE 'text' END AS kind FROM l),
-g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, kind ORDER BY i) AS block FROM k)
+@query("p37_y11_line_blocks", f"""
+WITH l AS (SELECT doc_id, generate_subscripts(string_split({_M}, chr(10)), 1) AS i, unnest(string_split({_M}, chr(10))) AS line FROM documents),
+k AS (SELECT doc_id, i, CASE WHEN trim(regexp_replace(line, '^[ \\t]*>', '')) = '' THEN 'blank' WHEN regexp_matches(lower(line), '^[> \\t]*(from|to|cc|bcc|sent|date|subject|von|an|gesendet|betreff|reply-to|sent by)[ \\t]*:') THEN 'header'
+ WHEN regexp_matches(lower(line), '^[> \\t]*([-_][-_]+.*(original message|forwarded by|reply separator|nachricht)|begin forwarded message:)') THEN 'header' WHEN regexp_matches(line, '^[> ]*[ \\t]+[^ \\t\\n\\f\\r\\v]') THEN 'more' ELSE 'body' END AS own FROM l),
+u AS (SELECT *, last_value(CASE WHEN own <> 'more' THEN own END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS above FROM k),
+z AS (SELECT doc_id, i, CASE WHEN own <> 'more' THEN own WHEN above = 'header' THEN 'header' ELSE 'body' END AS kind FROM u),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, kind ORDER BY i) AS block FROM z)
 SELECT doc_id, kind, min(i) - 1 AS first_line, count(*) AS n_lines FROM g GROUP BY doc_id, kind, block""")
 def y11(spark, sf_dir):
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    kinds = F.transform(lines, lambda x: F.when(F.trim(x) == "", "blank").when(F.regexp_like(x, F.lit("^[-*•] ")), "list").otherwise("text"))
-    d = _docs(spark, sf_dir).select("doc_id", kinds.alias("k"))
-    # Blocks within the row: a line starts one if the line before is of another kind.
-    starts = F.filter(F.transform("k", lambda x, i: F.struct(i.alias("i"), x.alias("kind"), (F.get("k", i - 1).isNull() | (F.get("k", i - 1) != x)).alias("s"))), lambda x: x["s"])
-    d = d.select("doc_id", F.size("k").alias("n"), starts.alias("s")).select("doc_id", "n", F.posexplode("s").alias("p", "b"), "s")
-    end = F.coalesce(F.get("s", F.col("p") + 1)["i"], F.col("n"))
-    return d.select("doc_id", F.col("b.kind").alias("kind"), F.col("b.i").cast("long").alias("first_line"), (end - F.col("b.i")).cast("long").alias("n_lines"))
+    mail = F.concat(F.lit("-----Original Message-----\nFrom: a\nTo: b,\n  c,\n  d\nSubject: s\n\n> quoted\n>\n"), F.coalesce("text", F.lit("")))
+    blocks = zones.runs(zones.line_zones(mail))
+    return _docs(spark, sf_dir).select("doc_id", F.explode(blocks).alias("b")).select("doc_id", "b.kind", "b.first_line", "b.n_lines")
 
 
 @query("p38_zones", f"""
-WITH l AS (SELECT doc_id, unnest(string_split({_T}, chr(10))) AS line, generate_subscripts(string_split({_T}, chr(10)), 1) AS i FROM documents),
-z AS (SELECT doc_id, i, length(line) + 1 AS len, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS a FROM l)
-SELECT doc_id, i - 1 AS line, CASE WHEN greatest(0, least(a + len, 100) - a) >= greatest(0, a + len - greatest(a, 100)) THEN 'header' ELSE 'body' END AS zone FROM z""")
+WITH l AS (SELECT doc_id, unnest(string_split({_T}, chr(10))) AS line, generate_subscripts(string_split({_T}, chr(10)), 1) AS i, length({_T}) AS n FROM documents),
+z AS (SELECT doc_id, i, n, length(line) + 1 AS len, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS a FROM l),
+o AS (SELECT doc_id, i, greatest(0, least(a + len, n // 4) - a) AS h, greatest(0, least(a + len, n // 2) - greatest(a, n // 4)) AS b, greatest(0, least(a + len, n - 20) - greatest(a, n // 2)) AS s FROM z)
+SELECT doc_id, i - 1 AS line, CASE WHEN greatest(h, b, s) = 0 THEN 'none' WHEN h = greatest(h, b, s) THEN 'header' WHEN b = greatest(h, b, s) THEN 'body' ELSE 'signature' END AS zone FROM o""")
 def p38(spark, sf_dir):
-    lines = _docs(spark, sf_dir).select("doc_id", F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(x) + 1).alias("len"))
-    ends = F.aggregate("len", F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    z = lines.select("doc_id", "len", ends.alias("at")).select("doc_id", F.posexplode("len").alias("line", "n"), "at").select("doc_id", F.col("line").cast("long").alias("line"), "n", F.get("at", F.col("line")).alias("a"))
-    e = F.col("a") + F.col("n")
-    head, body = F.greatest(F.lit(0), F.least(e, F.lit(100)) - F.col("a")), F.greatest(F.lit(0), e - F.greatest("a", F.lit(100)))
-    return z.select("doc_id", "line", F.when(head >= body, "header").otherwise("body").alias("zone"))
+    n = F.length(F.coalesce("text", F.lit("")))
+    quarter, half = F.floor(n / 4).cast("int"), F.floor(n / 2).cast("int")
+    z = zones.overlap_zones(F.col("text"), [("header", F.lit(0), quarter), ("body", quarter, half), ("signature", half, n - 20)], "none")
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(z).alias("line", "zone")).select("doc_id", F.col("line").cast("long").alias("line"), "zone")
 
 
 @query("p25_signature")
@@ -357,7 +357,8 @@ SELECT doc_id, term, weight, row_number() OVER (PARTITION BY doc_id ORDER BY wei
 def k4(spark, sf_dir):
     d = _docs(spark, sf_dir)
     w = d.select("doc_id", F.explode(cl.bag_of_words(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
-    df = w.groupBy("term").agg(F.count("*").alias("d"))
+    w = written(w, "terms")
+    df = written(w.groupBy("term").agg(F.count("*").alias("d")), "frequencies")  # written, so that a frequent term's rows can be split
     total = d.agg(F.count("*").alias("total"))
     s = w.join(df, "term").join(F.broadcast(total)).select("doc_id", "term", F.round(F.col("n") * F.log((F.col("total") + 1.0) / (F.col("d") + 1)), 6).alias("weight"))  # one row
     return top_k(s, ["doc_id"], [F.desc("weight"), F.col("term")], 20)

@@ -98,3 +98,49 @@ def test_scores(spark):
     by = {r.node: r.community for r in graph.communities(two).collect()}
     assert len({by[k] for k in "abc"}) == 1 and len({by[k] for k in "xyz"}) == 1 and by["a"] != by["x"]
     assert edges.undirected(two).count() == 6
+
+
+def test_communities_by_modularity(spark):
+    """Cliques joined by single edges are found; modularity equals its definition; no merge of two communities would raise it."""
+    rows = [(f"{c}{i}", f"{c}{j}", 1) for c in "abcd" for i in range(5) for j in range(i)] + [("a0", "b0", 1), ("b1", "c0", 1), ("c1", "d0", 1), ("d1", "a1", 1), ("a0", "a0", 3), ("lone", "lone", 1)]
+    e = spark.createDataFrame(rows, "src string, dst string, volume long")
+    parts = graph.communities(e)
+    by = {r.node: r.community for r in parts.collect()}
+    assert by == {f"{c}{i}": f"{c}0" for c in "abcd" for i in range(5)} | {"lone": "lone"}
+    adj = undirected(rows)
+    m = sum(map(len, adj.values())) / 2
+
+    def q(label):
+        return sum((1 if b in adj[a] else 0) - len(adj[a]) * len(adj[b]) / (2 * m) for a in adj for b in adj if label[a] == label[b]) / (2 * m)
+
+    assert abs(graph.modularity(e, parts) - q(by)) < 1e-12
+    for seed in (5, 6):
+        rows, e = small(spark, seed, 12, 0.15)
+        adj, by = undirected(rows), {r.node: r.community for r in graph.communities(e).collect()}
+        m = sum(map(len, adj.values())) / 2
+        assert set(by) == set(adj) and all(by[by[k]] == by[k] for k in by)
+        for x, y in itertools.combinations(sorted(set(by.values())), 2):
+            assert q({k: x if v == y else v for k, v in by.items()}) <= q(by) + 1e-9
+
+
+def test_closeness_and_eigenvector(spark):
+    import numpy as np
+
+    rows, e = small(spark, 3)
+    names = sorted({x for a, b, _ in rows for x in (a, b)})
+    adj = undirected(rows)
+    a = np.array([[float(y in adj[x]) for y in names] for x in names])
+    values, vectors = np.linalg.eigh(a)
+    got = {r.node: r.eigenvector for r in graph.eigenvector_centrality(e, 60).collect()}
+    assert np.allclose([got[n] for n in names], np.abs(vectors[:, -1]), atol=1e-3) or abs(values[-1] - values[-2]) < 0.1
+    step = {}
+    for x, y, _ in rows:
+        step.setdefault(x, set()).add(y)
+    for r in graph.closeness(e).collect():
+        dist, front, k = {r.node: 0}, {r.node}, 0
+        while front:
+            k += 1
+            front = {y for x in front for y in step.get(x, ())} - set(dist)
+            dist |= dict.fromkeys(front, k)
+        s, n = sum(dist.values()), len(dist) - 1
+        assert r.eccentricity == max(dist.values()) and abs(r.closeness - (n * n / s / (len(names) - 1) if n else 0)) < 1e-9 and abs(r.farness - (s / n if n else 0)) < 1e-9

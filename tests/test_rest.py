@@ -167,7 +167,7 @@ def test_streams(spark, tmp_path):
 
 
 #: Queries whose plans are cheap enough to run here one by one; the driver compares all.
-CHECKED = ["p14_clamped_dates", "p26_phones", "p27_emails", "p19_without_headers", "p20_strict", "x2_x7_text_features", "x11_x26_time_features", "a1_longest_of_each", "a2_content_id", "w1_thread_links", "w2_part_ids", "y11_line_blocks", "s11_a11_edges", "j3_responses", "a9_frequent_terms", "a8_buckets_month", "m5_hellinger", "m7_nearest", "x8_names", "x9_flags", "x14_x15_y4_encodings", "x19_x28_x29_recipients", "x20_is_thread", "p1_p6_decoded", "s2_s5_json_lines"]
+CHECKED = ["p14_clamped_dates", "p26_phones", "p27_emails", "p19_without_headers", "p20_strict", "x2_x7_text_features", "x11_x26_time_features", "a1_longest_of_each", "a2_content_id", "w1_thread_links", "w2_part_ids", "p37_y11_line_blocks", "p38_zones", "s11_a11_edges", "j3_responses", "a9_frequent_terms", "a8_buckets_month", "m5_hellinger", "m7_nearest", "x8_names", "x9_flags", "x14_x15_y4_encodings", "x19_x28_x29_recipients", "x20_is_thread", "p1_p6_decoded", "s2_s5_json_lines"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
