@@ -15,8 +15,9 @@ Plan: messages are a scan and an Arrow map without a shuffle, a row for each ite
 never in one task; the order is a key (order_turn, order_level, turn, kind, item), not a position.  Only tool blocks are shuffled, on
 keys finer than a conversation.  Peeling takes as many rounds as the longest chain of references, each written.
 
-Defined results: a null text counts as empty, a null role as "", null conversation ids and turns are kept, a null id never links, a null turn counts as 0 in the order of calls; a block
-that is not valid JSON or lacks its fields has status ``bad_json``; of calls with one id in a conversation the first (turn, item) is
+Defined results: a null text counts as empty, a null role as "", null turns are kept, the rows with a null conversation id are one conversation, a null id never links, a null turn counts as 0 in the order of calls; a block
+that is not valid JSON, is nested too deeply to parse, lacks its fields or has an id or a name that is no string of valid Unicode
+has status ``bad_json`` (lone surrogates inside other values stay escaped); a schema that is none gives ``bad_schema``; of calls with one id in a conversation the first (turn, item) is
 linked and later ones are ``duplicate_id``; of results the first is ``ok`` and later ones ``duplicate_result``; results
 without a call are ``orphan``; calls without a result ``no_result``; repeated rows count as repeated blocks; an
 empty table gives no row; other columns are ignored.
@@ -28,14 +29,16 @@ import json
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commlens.llm.common import written
+from commlens.llm.common import dropped, written
 
 BLOCK = re.compile(r"<(tools|tool_call|tool_response)>(.*?)</\1>", re.S)
+LONE = re.compile("[\ud800-\udfff]")
 MESSAGE, CALL, RESULT, TOOL = 0, 1, 2, 3
 KIND = {"tools": TOOL, "tool_call": CALL, "tool_response": RESULT}
 FIELDS = "kind int, item int, id string, name string, body string, args string, refs array<string>, bad boolean"
@@ -61,9 +64,11 @@ def number(x: int | float) -> str:
 
 
 def canonical(x: object) -> str:
-    """Canonical JSON of a parsed value: members by the UTF-16 units of their names, no white space."""
-    if x is None or isinstance(x, (bool, str)):
-        return json.dumps(x, ensure_ascii=False)
+    """Canonical JSON of a parsed value: members by the UTF-16 units of their names, no white space; lone surrogates stay escaped."""
+    if isinstance(x, str):
+        return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", json.dumps(x, ensure_ascii=False))
+    if x is None or isinstance(x, bool):
+        return json.dumps(x)
     if isinstance(x, (int, float)):
         return number(x)
     if isinstance(x, list):
@@ -110,6 +115,13 @@ def valid(x: object, schema: object) -> bool:
     return True
 
 
+def _text(x: object, null: bool = False) -> str | None:
+    """An id or a name: a string that is valid Unicode, or, where allowed, null."""
+    if isinstance(x, str) and not LONE.search(x) or x is None and null:
+        return x
+    raise ValueError("an id or a name is a string")
+
+
 def blocks_of(text: str) -> list[tuple]:
     """The FIELDS of each tool block of a text."""
     out: list[tuple] = []
@@ -118,18 +130,17 @@ def blocks_of(text: str) -> list[tuple]:
         try:
             x = json.loads(m[2])
             if kind == TOOL:
-                out += [(kind, item, None, t["name"], None, canonical(t.get("parameters", {})), None, False) for t in x]
+                out += [(kind, item, None, _text(t["name"]), None, canonical(t.get("parameters", {})), None, False) for t in x]
                 continue
-            if x.get("id") is not None and not isinstance(x["id"], str):
-                raise ValueError("an id is a string")
+            id_ = _text(x.get("id"), null=True)
             if kind == CALL:
-                args = x["arguments"]
+                args, name = x["arguments"], _text(x["name"])
                 args = json.loads(args) if isinstance(args, str) else args
-                name = x["name"] if isinstance(x["name"], str) else None
-                body = canonical({"arguments": args, "id": x.get("id"), "name": name, "role": "assistant", "type": "call"})
-                out.append((kind, item, x.get("id"), name, body, canonical(args), sorted(references(args)), name is None))
+                body = canonical({"arguments": args, "id": id_, "name": name, "role": "assistant", "type": "call"})
+                # No id holds a lone surrogate, so such a reference is one to an unknown call.
+                out.append((kind, item, id_, name, body, canonical(args), sorted(r for r in references(args) if not LONE.search(r)), False))
             else:
-                out.append((kind, item, x.get("id"), None, canonical(x.get("content")), None, None, False))
+                out.append((kind, item, id_, None, canonical(x.get("content")), None, None, False))
         except (ValueError, KeyError, TypeError, AttributeError, RecursionError):
             out.append((kind, item, None, None, canonical(m[2]), None, None, True))
     return out
@@ -165,7 +176,7 @@ def _validated(tools: dict[str, dict]):
                 own = json.loads(schema) if schema is not None else tools.get(name)
                 try:
                     said.append("bad_json" if args is None else "unknown_tool" if own is None else "ok" if valid(json.loads(args), own) else "invalid_arguments")
-                except (re.error, TypeError, AttributeError, RecursionError):
+                except (re.error, TypeError, AttributeError, ValueError, OverflowError, RecursionError):
                     said.append("bad_schema")
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("conv", "turn", "item", "id", "name", "body", "refs")], pa.array(said, pa.string())], names=["conv", "turn", "item", "id", "name", "body", "refs", "said"])
 
@@ -173,39 +184,47 @@ def _validated(tools: dict[str, dict]):
 
 
 def placed(calls: DataFrame) -> DataFrame:
-    """(conv, id, order_turn, order_level) of calls (conv, id, turn, refs) that no cycle holds back; references to unknown ids do not."""
+    """(conv, id, order_turn, order_level) of calls (conv, id, turn, refs) that no cycle holds back; references to unknown ids do not.
+
+    A round joins the open references with the calls that the round before placed, no others; an open reference keeps
+    the key of the call that it waited for.
+    """
     every = calls.select("conv", "id")
     needs = calls.select("conv", "id", "turn", F.explode("refs").alias("ref")).join(every.withColumnRenamed("id", "ref"), ["conv", "ref"], "left_semi").distinct()
-    needs = written(needs, "needs")
+    needs = written(needs.withColumn("key", F.lit(None).cast("struct<t: long, l: int>")), "needs")
     free = calls.join(needs.select("conv", "id").distinct(), ["conv", "id"], "left_anti")
-    done = new = written(free.select("conv", "id", F.col("turn").alias("order_turn"), F.lit(0).alias("order_level")), "placed")
-    while needs.limit(1).count():
-        met = needs.join(new.withColumnRenamed("id", "ref"), ["conv", "ref"], "left")
-        state = met.groupBy("conv", "id").agg(
-            F.sum(F.col("order_turn").isNull().cast("int")).alias("open"), F.max(F.struct(F.col("order_turn").alias("t"), (F.col("order_level") + 1).alias("l"))).alias("k"), F.first("turn").alias("turn")
-        )
-        state = written(state, "peeled")
-        new_keys = F.greatest("k", F.struct(F.col("turn").alias("t"), F.lit(0).alias("l")))
-        own = state.where("open = 0").select("conv", "id", new_keys["t"].alias("order_turn"), new_keys["l"].alias("order_level"))
-        if not own.limit(1).count():
-            return done
-        # Placed references stay in ``needs`` until their call is placed, so that its key sees all of them.
-        done = written(done.union(own), "placed")
-        new = done
-        needs = written(needs.join(own.select("conv", "id"), ["conv", "id"], "left_anti"), "needs")
-    return done
+    new = written(free.select("conv", "id", F.col("turn").alias("order_turn"), F.lit(0).alias("order_level")), "placed")
+    done = [new]
+    while True:
+        found = new.select("conv", F.col("id").alias("ref"), F.struct(F.col("order_turn").alias("t"), (F.col("order_level") + 1).alias("l")).alias("now"))
+        met = needs.join(found, ["conv", "ref"], "left").select("conv", "id", "turn", "ref", F.coalesce("key", "now").alias("key"))
+        met, before = written(met, "needs"), needs
+        dropped(before)
+        ready = met.groupBy("conv", "id").agg(F.max("key").alias("k"), F.first("turn").alias("turn"), F.max(F.col("key").isNull()).alias("open")).where("NOT open")
+        key = F.greatest("k", F.struct(F.col("turn").alias("t"), F.lit(0).alias("l")))
+        new = written(ready.select("conv", "id", key["t"].alias("order_turn"), key["l"].alias("order_level")), "placed")
+        if not new.limit(1).count():
+            return reduce(DataFrame.union, done)
+        done.append(new)
+        if len(done) == 32:
+            done = [written(reduce(DataFrame.union, done), "placed")]
+        needs = written(met.join(new.select("conv", "id"), ["conv", "id"], "left_anti"), "needs")
+        dropped(met)
 
 
 def format_chats(df: DataFrame, tools: dict[str, dict] | None = None, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row for each message, call and result: conversation, turn, kind, item, call_id, name, status, order_turn, order_level, json."""
-    conv = df.schema[conv_col].dataType.simpleString()
-    own = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
+    # Keys without null, so that the rows without a conversation are one like any other.
+    key = F.coalesce(F.concat(F.lit("c"), F.col(conv_col).cast("string")), F.lit("-"))
+    own = df.select(key.alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
+    conv = "string"
     lines = own.mapInArrow(_messages, f"conv {conv}, turn long, json string")
     none = F.lit(None).cast("string")
     messages = lines.select("conv", "turn", F.lit("message").alias("kind"), F.lit(0).alias("item"), none.alias("call_id"), none.alias("name"), F.lit("ok").alias("status"), F.col("turn").alias("order_turn"), F.lit(-1).alias("order_level"), "json")
 
     items = written(own.where(F.contains("text", F.lit("<tool"))).select("conv", "turn", "text").mapInArrow(_blocks, f"conv {conv}, turn long, {FIELDS}"), "tool-items")
-    declared = items.where(f"kind = {TOOL}").groupBy("conv", "name").agg(F.min_by("args", F.struct("turn", "item")).alias("schema"))
+    # Written, so that adaptive execution can split the calls of one conversation's tool.
+    declared = written(items.where(f"kind = {TOOL} AND name IS NOT NULL").groupBy("conv", "name").agg(F.min_by("args", F.struct("turn", "item")).alias("schema")), "declared")
     calls = items.where(f"kind = {CALL}").select("conv", "turn", "item", "id", "name", "body", "args", "refs").join(declared, ["conv", "name"], "left")
     calls = calls.select("conv", "turn", "item", "id", "name", "body", "args", "refs", "schema").mapInArrow(
         _validated(tools or {}), f"conv {conv}, turn long, item int, id string, name string, body string, refs array<string>, said string"
@@ -238,4 +257,5 @@ def format_chats(df: DataFrame, tools: dict[str, dict] | None = None, conv_col:
         "conv", "turn", F.lit("result").alias("kind"), "item", F.col("id").alias("call_id"), F.col("call_name").alias("name"), status.alias("status"),
         F.coalesce("order_turn", "turn").alias("order_turn"), F.coalesce("order_level", F.lit(0)).alias("order_level"), line.alias("json"),
     )
-    return messages.union(call_rows).union(result_rows).withColumnRenamed("conv", conv_col)
+    shown = F.when(F.col("conv") != "-", F.substring("conv", 2, 1 << 30)).cast(df.schema[conv_col].dataType)
+    return messages.union(call_rows).union(result_rows).withColumn("conv", shown).withColumnRenamed("conv", conv_col)
