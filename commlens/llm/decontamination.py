@@ -6,10 +6,10 @@ left; an item counts as leaked into a document if the marked tiles cover ``cover
 order, so passages whose sentences were moved about are found like whole ones.  Matches are found by rolling
 Karp-Rabin hashes of the runs and are then compared word by word.
 
-Plan: while the benchmark is small (``broadcast_words``, counted first) its words go to the tasks, and the documents
-are scanned once with one Arrow map and no shuffle: a document of any length is matched where it is read.  A larger
-benchmark is met by a join of run hashes: documents' runs are counted against items', the candidates of a document
-are gathered by item number and tiled in a second scan, joined by row number.
+Plan: the benchmark is a query set that is met in blocks of about ``block_words`` words (its size is counted first): a
+block goes to the tasks, and the documents are scanned for it with one Arrow map and no shuffle, so a document of any
+length is matched where it is read, no run of words is ever a join key, and memory is bounded by a block and a text.
+A benchmark of n blocks is n such scans by the same rules; up to two million words it is one.
 
 Defined results: null or word-less documents and items match nothing; an item of fewer than ``min_match`` words can
 only match as one run of all its words; repeated documents, items and ids are reported each; null ids are kept; empty
@@ -21,13 +21,16 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from commlens.llm.common import written
+from commlens.llm.common import slices, written
+from commlens.llm.side import filtered, numbered
 
 WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -162,75 +165,39 @@ class Benchmark:
 OUT = "item_words long, covered_words long, n_tiles long, first_word long"
 
 
-def _rows(keys: list, texts: list, benchmark_of, coverage: float, id_type, item_type) -> pa.RecordBatch:
-    out = [(key, *m) for i, (key, text) in enumerate(zip(keys, texts, strict=True)) for m in benchmark_of(i).matches(text, coverage)]
-    c = list(zip(*out)) if out else [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, [id_type, item_type, *[pa.int64()] * 4], strict=True)], names=["doc", "item", "item_words", "covered_words", "n_tiles", "first_word"])
-
-
-def _runs(min_match: int):
-    """A row for each different run of a text: (number, 64-bit hash); texts of fewer words are one run."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
-
-        for b in parts:
-            for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                w = words_of(text)
-                if w:
-                    h = rolling(np.array([xxh3_64_intdigest(x) for x in w], np.uint64), min(min_match, len(w)))
-                    h = np.unique(h).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), row, np.int64)), pa.array(h)], names=["row", "run"])
-
-    return run
-
-
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    min_match: int = 4, coverage: float = 0.6, broadcast_words: int = 2_000_000,
+    min_match: int = 4, coverage: float = 0.6, block_words: int = 2_000_000,
 ) -> DataFrame:
     """A row for each document and item that leaked into it: ids, item_words, covered_words, n_tiles, first_word."""
     spark = docs.sparkSession
-    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    id_type, item_type = (to_arrow_type(df.schema[c].dataType) for df, c in ((docs, id_col), (benchmark, item_col)))
+    schema = f"doc {docs.schema[id_col].dataType.simpleString()}, item {benchmark.schema[item_col].dataType.simpleString()}, {OUT}"
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    schema = f"doc {id_kind}, item {item_kind}, {OUT}"
-    named = [F.col("doc").alias(id_col), F.col("item").alias(item_col), "item_words", "covered_words", "n_tiles", "first_word"]
-    if size <= 8 * broadcast_words:
-        shared = spark.sparkContext.broadcast(Benchmark(sorted(((r["item"], r["text"]) for r in items.collect()), key=lambda x: (str(x[0]), str(x[1]))), min_match))
-        item_type = pa.int64() if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
+    size = items.agg(F.coalesce(F.sum(F.length("text") + 8), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // (8 * block_words)))
+    if blocks > 1:
+        items = written(items.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))), "items")
+    own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+
+    def found(block: DataFrame) -> DataFrame:
+        shared = spark.sparkContext.broadcast(Benchmark(sorted(((r["item"], r["text"]) for r in block.select("item", "text").collect()), key=lambda x: (str(x[0]), str(x[1]))), min_match))
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in parts:
-                yield _rows(b.column(0).to_pylist(), b.column(1).to_pylist(), lambda _: shared.value, coverage, b.schema.field(0).type, item_type)
-
-        return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, schema).select(*named)
-
-    own = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text")), "decon-docs")
-    held = written(items.select(F.monotonically_increasing_id().alias("row"), "item", "text"), "decon-items")
-    # Items that are shorter than a run, of one size each, meet documents' runs of that size.
-    short = held.select("row", F.size(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("n")).where(F.col("n") < min_match)
-    sizes = sorted({min_match, *(r["n"] for r in short.select("n").distinct().collect() if r["n"] > 0)})  # fewer than min_match rows
-    pairs = None
-    for m in sizes:
-        a = own.select("row", "text").mapInArrow(_runs(m), "row long, run long")
-        b = held.select("row", "text").mapInArrow(_runs(m), "row long, run long").withColumnRenamed("row", "item_row")
-        found = a.join(b, "run").select("row", "item_row").distinct()
-        pairs = found if pairs is None else pairs.union(found)
-    gathered = pairs.distinct().join(held.withColumnRenamed("row", "item_row").withColumnRenamed("text", "item_text"), "item_row")
-    both = gathered.join(own, "row").select("doc", "text", "item", "item_text")
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            c = [b.column(i).to_pylist() for i in range(4)]
-            of = [Benchmark([(k, t)], min_match) for k, t in zip(c[2], c[3], strict=True)]
-            yield _rows(c[0], c[1], of.__getitem__, coverage, b.schema.field(0).type, b.schema.field(2).type)
-
-    return both.mapInArrow(run, schema).select(*named)
+            for b in slices(parts, 1):
+                out = [(key, *m) for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in shared.value.matches(text, coverage)]
+                c = list(zip(*out)) if out else [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, [id_type, item_type, *[pa.int64()] * 4], strict=True)], names=["doc", "item", "item_words", "covered_words", "n_tiles", "first_word"])
+
+        return own.mapInArrow(run, schema)
+
+    every = reduce(DataFrame.union, [found(items.where(F.col("block") == b) if blocks > 1 else items) for b in range(blocks)])
+    return every.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "item_words", "covered_words", "n_tiles", "first_word")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` into which no item leaked."""
-    own = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    leaked = contaminated(own, benchmark, "__row", text_col, item_col, item_text, **how).select("__row").distinct()
-    return own.join(written(leaked, "leaked"), "__row", "left_anti").drop("__row")
+    """The rows of ``docs`` into which no item leaked; their numbers go to the written rows as side files, so texts are not shuffled."""
+    own = numbered(docs, "numbered")
+    texts = own.select("uid", F.col(f"c{docs.columns.index(text_col)}").alias("t"))
+    leaked = contaminated(texts, benchmark, "uid", "t", item_col, item_text, **how).select("uid").distinct()
+    return filtered(own, leaked, docs, keep=False)
