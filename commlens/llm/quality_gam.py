@@ -10,8 +10,9 @@ Plan: the sampled rows' features meet the labels in an equi-join of a few number
 Arrow map and no shuffle.  The fit is bounded by ``train_rows``, a documented parameter; the tables are of fixed size.
 
 Defined results: null text counts as empty and is scored like any text; rows with a null id count as not held out and
-have no label; null labels are not learned from; without any label all scores are 0.5; repeated rows each get a row
-(of labels with the same id each counts); an empty table gives no row; other columns are ignored.
+have no label; null labels are not learned from; without any label all scores are 0.5; repeated rows each get a row;
+of labels with the same id the mean is learned, from one of the texts with that id; an empty table gives no row; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commlens.llm.common import slices
 from commlens.llm.language import held_out
 
 FEATURES = (
@@ -123,7 +125,7 @@ def _quadrants(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[float, int,
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, pair_rounds: int = 60, pairs: int = 6, bins: int = 48, rate: float = 0.1, leaves: int = 3, ridge: float = 1.0, least: float = 2.0) -> Gam:
-    """Cyclic boosting; x: rows x features, y: 0 or 1."""
+    """Cyclic boosting; x: rows x features, y: 0 to 1."""
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     p = (y.sum() + 1) / (len(y) + 2)
     model = Gam(edges, float(np.log(p / (1 - p))))
@@ -164,7 +166,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, pair_rounds: int = 60,
 
 
 def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in parts:
+    for b in slices(parts, 1):
         x = [np.array(features_of(t or b"")).astype("<f8").tobytes() for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.binary())], names=["id", "x"])
 
@@ -175,8 +177,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     n = own.count()
     chosen = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < F.lit(min(1.0, train_rows / max(n, 1)) * (1 << 20))
     picked = df.where(F.col(id_col).isNotNull() & chosen & ~held_out(id_col, 5, 0)).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    x = picked.mapInArrow(_features, f"id {df.schema[id_col].dataType.simpleString()}, x binary")
-    rows = x.join(own.where(chosen).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")), "id").select("x", "y").collect()
+    # One row for each id, with partial sums, so that the sample is bounded and the join even, however often an id is repeated.
+    x = picked.mapInArrow(_features, f"id {df.schema[id_col].dataType.simpleString()}, x binary").groupBy("id").agg(F.min("x").alias("x"))
+    y = own.where(chosen).groupBy(F.col(id_col).alias("id")).agg(F.avg(F.col(label_col).cast("int")).alias("y"))
+    rows = x.join(y, "id").select("x", "y").collect()
     rows = sorted((bytes(r["x"]), r["y"]) for r in rows)
     if not rows:
         return Gam([np.zeros(0)] * len(FEATURES), 0.0)
@@ -188,7 +192,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = df.sparkSession.sparkContext.broadcast(train(df, labels, id_col, text_col, label_col, train_rows))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in slices(parts, 2):
             x = np.array([features_of(t or b"") for t in b.column(2).to_pylist()], dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(model.value.score(x), pa.float64())], names=["id", "held_out", "score"])
 
