@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +72,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def utf8(c: str | Column) -> Column:
     """A text's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("binary")
+
+
+def slices(parts: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``max_bytes`` of a text column each (a longer text is a slice of its own), so that a worker holds little at a time."""
+    for b in parts:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cut = np.flatnonzero(np.diff(size // max_bytes, prepend=0)) if len(size) else size
+        for a, z in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows], strict=True):
+            if z > a or not b.num_rows:
+                yield b.slice(a, z - a)

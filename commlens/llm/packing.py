@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commlens.llm.common import utf8
-from commlens.llm.tokens import batches, crc32_u32, worker_tokenizer
+from commlens.llm.common import slices, utf8
+from commlens.llm.tokens import crc32_u32, worker_tokenizer
 
 
 class CapacityTree:
@@ -126,7 +126,7 @@ class Packer:
 
 def pack(
     df: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, id_col: str = "doc_id", text_col: str = "text",
-    loose: int = 256, hold_tokens: int = 16_000_000, max_words: int = 1_000_000,
+    loose: int = 256, hold_tokens: int = 16_000_000, max_words: int = 500_000,
 ) -> DataFrame:
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -151,14 +151,12 @@ def pack(
 
         names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         id_type = None
-        for part in parts:
-            id_type = part.schema.field(0).type
-            keys, texts, rows = part.column(0).to_pylist(), part.column(1).to_pylist(), []
-            for lo, hi in batches(texts):
-                for key, packed in zip(keys[lo:hi], tok.encode(texts[lo:hi]), strict=True):
-                    rows += packer.add(key, np.frombuffer(packed + end, dtype=tok.dtype))
-                if packer.held >= hold_tokens:
-                    rows += packer.flush()
+        for part in slices(parts, 1):
+            id_type, rows = part.schema.field(0).type, []
+            for key, packed in zip(part.column(0).to_pylist(), tok.encode(part.column(1).to_pylist()), strict=True):
+                rows += packer.add(key, np.frombuffer(packed + end, dtype=tok.dtype))
+            if packer.held >= hold_tokens:
+                rows += packer.flush()
             if rows:
                 yield made(rows)
         if packer.pieces:

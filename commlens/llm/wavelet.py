@@ -23,9 +23,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from commlens.llm.common import scratch, utf8, written
+from commlens.llm.common import scratch, slices, utf8, written
 from commlens.llm.side import open_uri
-from commlens.llm.tokens import batches, crc32_u32, worker_tokenizer
+from commlens.llm.tokens import crc32_u32, worker_tokenizer
 
 MAGIC = b"WMTOKEN1"
 BLOCK = 1 << 16  # bytes of a plane in a compressed block
@@ -178,7 +178,7 @@ class WaveletMatrix:
 
 
 def write_shards(
-    df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, max_words: int = 1_000_000,
+    df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, max_words: int = 500_000,
 ) -> DataFrame:
     """Writes the shards into ``folder``; the manifest: path, part, seq, n_docs, n_tokens.
 
@@ -211,16 +211,14 @@ def write_shards(
             made.append((f"{folder}/{name}", part, seq, len(held), len(ids)))
             held, keys, size, seq = [], [], 0, seq + 1
 
-        for batch in parts:
+        for batch in slices(parts, 1):
             id_type = batch.schema.field(0).type
-            all_keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in batches(texts):
-                for key, packed in zip(all_keys[lo:hi], tok.encode(texts[lo:hi]), strict=True):
-                    held.append(packed + end)
-                    keys.append(key)
-                    size += len(packed) // tok.width + 1
-                    if size >= shard_tokens:
-                        close()
+            for key, packed in zip(batch.column(0).to_pylist(), tok.encode(batch.column(1).to_pylist()), strict=True):
+                held.append(packed + end)
+                keys.append(key)
+                size += len(packed) // tok.width + 1
+                if size >= shard_tokens:
+                    close()
         if held:
             close()
         if made:
