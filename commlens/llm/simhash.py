@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commlens.llm.common import utf8, written
+from commlens.llm.common import slices, utf8, written
 from commlens.llm.components import components
+from commlens.llm.side import filtered, numbered
 
 HALF = 31
 
@@ -75,7 +76,7 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """(id, fp): fp is the fingerprint as a signed long."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in slices(parts, 1):
             fp = fingerprints_of(b.column(1).to_pylist(), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[id_col, "fp"])
 
@@ -209,7 +210,7 @@ def _compare_blocks(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int = 3, cell: int = 4096) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 3, cell: int = 16384) -> DataFrame:
     """Of distinct fingerprints (fp): links (u, v) that join every two fingerprints which a chain of links joins."""
 
     def replicate(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +232,7 @@ def links(fps: DataFrame, max_bits: int = 3, cell: int = 4096) -> DataFrame:
     return out.union(pairs.groupBy("cell", "b1", "b2").applyInArrow(_compare_blocks(max_bits), "u long, v long"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, cell: int = 4096) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, cell: int = 16384) -> DataFrame:
     """A row for each row of ``df``: id, fp, component_id (smallest id of the component), root (its smallest fingerprint)."""
     own = written(fingerprint(df, id_col, text_col, shingle), "fingerprints")
     distinct = own.groupBy("fp").agg(F.min(id_col).alias("low"))
@@ -245,9 +246,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``df``, one of each component: the one with the smallest id (ties and null ids: the first row written)."""
-    own = written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    placed = near_duplicates(own, "__row", text_col, shingle, max_bits).select("__row", "root")
-    ids = own.select("__row", F.col(id_col).alias("__id"))
-    best = placed.join(ids, "__row").groupBy("root").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("b")).select(F.col("b.__row").alias("__row"))
-    return own.join(best, "__row", "left_semi").drop("__row")
+    """The rows of ``df``, one of each component: the one with the smallest id (ties and null ids: the first row written).
+
+    The numbers of the kept rows go to the written rows as side files, so texts are not shuffled.
+    """
+    own = numbered(df, "numbered")
+    ids, texts = (F.col(f"c{df.columns.index(c)}") for c in (id_col, text_col))
+    placed = near_duplicates(own.select("uid", texts.alias("t")), "uid", "t", shingle, max_bits).select("uid", "root")
+    best = placed.join(own.select("uid", ids.alias("id")), "uid").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("b"))
+    return filtered(own, best.select(F.col("b.uid").alias("uid")), df, keep=True)
