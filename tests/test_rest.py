@@ -129,6 +129,24 @@ def test_feature_columns(spark):
     assert ft.label_encode(df.limit(0), "k").count() == 0 and ft.one_hot(df.limit(0), "k").columns == ["f"]
 
 
+def test_nearest(spark):
+    """Blocks of queries against brute force, with copies, ties and nulls."""
+    from commlens.operators import models
+
+    rng = random.Random(5)
+    vectors = [[rng.randrange(4) / 2 for _ in range(3)] for _ in range(80)] + [[0.5, 0.5, 0.5]] * 9
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(None, [0.0, 0.0, 0.0]), (500, None)]
+    df = spark.createDataFrame(rows, "id long, v array<float>").repartition(3)
+    want = []
+    for i in range(0, len(vectors), 7):
+        d = sorted((round(sum((x - y) ** 2 for x, y in zip(vectors[i], w)) ** 0.5, 6), j) for j, w in enumerate(vectors) if j != i)
+        want += [(i, j, r + 1, x) for r, (x, j) in enumerate(d[:4])]
+    for block in (5, 4096):
+        got = models.nearest(df.where("id % 7 = 0 OR id IS NULL"), df, "id", "v", 4, block)
+        assert sorted((r.id, r.neighbour, r["rank"], r.distance) for r in got.collect()) == sorted(want)
+    assert models.nearest(df.limit(0), df, "id", "v", 4).count() == 0
+
+
 def test_windows_covering():
     rng = random.Random(1)
     for _ in range(500):
