@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from commlens.functions import cleaning as cl
 from commlens.functions import features as ft
 from commlens.functions import zones
-from commlens.functions.language import WORDS, entities, language
+from commlens.functions.language import COMPANY, PLACES, WORDS, entities, language
 from commlens.functions.mime import decoded, text_of_html, without_inline_headers
 from commlens.operators import models, phrases
 from commlens.operators.topics import top_k
@@ -99,9 +99,12 @@ def p34(spark, sf_dir):
     return rows.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
-@query("p35_lemmas")
+@query("p35_lemmas", f"""
+WITH w AS (SELECT w, count(*) AS n FROM (SELECT unnest({_BAG}) AS w FROM documents) GROUP BY 1),
+f AS (SELECT *, CASE WHEN length(w) > 4 THEN regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^s])s$', '\\1') ELSE w END AS noun, CASE WHEN length(w) > 5 THEN regexp_replace(w, '(ing|ed)$', '') ELSE w END AS verb FROM w)
+SELECT CASE WHEN length(verb) < length(noun) THEN verb ELSE noun END AS lemma, sum(n)::BIGINT AS n, count(*) AS forms FROM f GROUP BY 1""")
 def p35(spark, sf_dir):
-    rows = _docs(spark, sf_dir).where("lang = 'en'").select(F.explode(cl.bag_of_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    rows = _docs(spark, sf_dir).select(F.explode(cl.bag_of_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return rows.groupBy(cl.lemma(F.col("word")).alias("lemma")).agg(F.sum("n").alias("n"), F.count("*").alias("forms"))
 
 
@@ -115,7 +118,14 @@ def p17(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", language(F.col("text")).alias("lang_found"))
 
 
-@query("p36_entities")
+_IS_PLACE, _IS_FIRM = (f"x IN ({', '.join(map(repr, PLACES))})", f"string_split(x, ' ')[-1] IN ({', '.join(map(repr, COMPANY))})")
+
+
+@query("p36_entities", f"""
+WITH r AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, lower(unnest(regexp_extract_all({_T}, '[A-Z][a-zà-ÿ]+( [A-Z][a-zà-ÿ]+)*'))) AS x FROM documents)),
+n AS (SELECT doc_id, count(*) FILTER (NOT {_IS_PLACE} AND NOT {_IS_FIRM} AND contains(x, ' ')) AS person, count(*) FILTER ({_IS_PLACE}) AS location, count(*) FILTER (NOT {_IS_PLACE} AND {_IS_FIRM}) AS organization,
+ count(*) FILTER (NOT {_IS_PLACE} AND NOT {_IS_FIRM} AND NOT contains(x, ' ')) AS miscellaneous FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(person, 0)::INT AS person, coalesce(location, 0)::INT AS location, coalesce(organization, 0)::INT AS organization, coalesce(miscellaneous, 0)::INT AS miscellaneous FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
 def p36(spark, sf_dir):
     e = _docs(spark, sf_dir).select("doc_id", entities(F.col("text")).alias("e"))
     return e.select("doc_id", *[F.size(f"e.{k}").alias(k) for k in ("person", "location", "organization", "miscellaneous")])
