@@ -10,6 +10,7 @@ from commlens.plans.mails import table
 from commlens.plans.registry import query
 from commlens.plans.texts import _BAG
 from commlens.sources import sinks
+from commlens.tables import shared_path
 
 
 def _bags(spark, sf_dir, *more):
@@ -56,7 +57,7 @@ def m2(spark, sf_dir):
 def m3(spark, sf_dir):
     bags = _bags(spark, sf_dir)
     model = topics.train(bags, "words", k=100, alpha=50 / 100, most=0.05)
-    return topics.terms_of(model, 10).select("topic_id", F.size("terms").alias("terms"))
+    return topics.terms_of(model, 10).select("topic_id", F.posexplode("terms").alias("pos", "t")).select("topic_id", "pos", "t.term", "t.weight")
 
 
 @query("m4_t4_f4_topic_rows")
@@ -155,5 +156,7 @@ def stream_a1(spark, sf_dir):
     from commlens.streaming.streams import source, without_repeats
 
     events = table(spark, sf_dir, "events")
-    stream = source(spark, f"{sf_dir}/events.parquet*", events.schema)
+    twice = shared_path(spark, "events-twice")  # every event comes twice, in files of their own
+    events.unionAll(events).write.parquet(twice)
+    stream = source(spark, twice, events.schema)
     return _drained(without_repeats(stream, "ts", ["event_id"], "60 days"), "events").select("event_id", "user_id")
