@@ -131,7 +131,14 @@ def p36(spark, sf_dir):
     return e.select("doc_id", *[F.size(f"e.{k}").alias(k) for k in ("person", "location", "organization", "miscellaneous")])
 
 
-@query("p18_ascii")
+def _ascii_sql() -> str:
+    t = f"replace(replace(replace(strip_accents({_T}), 'ß', 'ss'), '’', chr(39)), 'œ', 'oe')"
+    for short, long in cl.CONTRACTIONS.items():
+        t = f"replace({t}, '{short.replace(chr(39), chr(39) * 2)}', '{long.replace(chr(39), chr(39) * 2)}')"
+    return f"WITH t AS (SELECT doc_id, regexp_replace({t}, '[^\\x00-\\x7F]', '', 'g') AS t FROM documents) SELECT doc_id, md5(t) AS h, length(t)::INT AS size FROM t"
+
+
+@query("p18_ascii", _ascii_sql())
 def p18(spark, sf_dir):
     t = _docs(spark, sf_dir).select("doc_id", cl.ascii_only(F.col("text")).alias("t"))
     return t.select("doc_id", F.md5("t").alias("h"), F.length("t").alias("size"))
