@@ -55,3 +55,13 @@ def load(path: str | None = None, section: str = "commlens", **override) -> Conf
                 raise KeyError(f"unknown option {k}")
             got[k] = _typed(kinds[k], v)
     return replace(Config(), **(got | override))
+
+
+def exports(config: Config, prefix: str = "COMMLENS") -> str:
+    """All options as lines ``PREFIX_OPTION="value"`` that a shell can source; lists are joined by commas, quotes are escaped."""
+
+    def shown(x) -> str:
+        text = ",".join(map(str, x)) if isinstance(x, list) else "" if x is None else str(x)
+        return "".join("\\" + c if c in '"\\$`' else c for c in text)
+
+    return "".join(f'{prefix}_{f.name.upper()}="{shown(getattr(config, f.name))}"\n' for f in fields(config))

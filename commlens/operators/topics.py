@@ -88,3 +88,9 @@ def topic_rows(model, df: DataFrame, id_col: str, least: float = 0.02, top: int
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of each group; adds ``rank``.  Spark keeps only k rows of a group before the shuffle."""
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def shown(model, top: int = 20) -> list[str]:
+    """A line for each topic: its number and its first terms with their weights; a report of k lines."""
+    rows = terms_of(model, top).orderBy("topic_id").collect()
+    return [f"topic # {r.topic_id} " + ", ".join(f"{t.term} {t.weight:.8f}" for t in r.terms) for r in rows]

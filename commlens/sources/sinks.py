@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def json_lines(df: DataFrame, path: str, overwrite: bool = False) -> None:
+def _fewer(df: DataFrame, files: int | None) -> DataFrame:
+    """At most so many output files, without a shuffle; None leaves them as they are."""
+    return df if files is None else df.coalesce(files)
+
+
+def json_lines(df: DataFrame, path: str, overwrite: bool = False, files: int | None = None) -> None:
     """One object a line; fails if the path exists unless told to overwrite."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").json(path)
+    _fewer(df, files).write.mode("overwrite" if overwrite else "errorifexists").json(path)
 
 
-def parquet(df: DataFrame, path: str, overwrite: bool = False, by: tuple[str, ...] = ()) -> None:
-    df.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*by).parquet(path)
+def parquet(df: DataFrame, path: str, overwrite: bool = False, by: tuple[str, ...] = (), files: int | None = None) -> None:
+    _fewer(df, files).write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*by).parquet(path)
 
 
 def flat(df: DataFrame) -> DataFrame:

@@ -62,6 +62,11 @@ def test_config_and_pipeline(spark, tmp_path):
     (tmp_path / "c.ini").write_text("[commlens]\ntopics = 7\noverwrite = false\nphrase_lengths = 1, 2\nbucket = ${other:unit}\n[other]\nunit = day\n")
     c = config.load(str(tmp_path / "c.ini"), df_min=9)
     assert (c.topics, c.overwrite, c.phrase_lengths, c.bucket, c.df_min) == (7, False, [1, 2], "day", 9)
+    lines = dict(x.split("=", 1) for x in config.exports(c).splitlines())
+    assert lines["COMMLENS_TOPICS"] == '"7"' and lines["COMMLENS_PHRASE_LENGTHS"] == '"1,2"' and lines["COMMLENS_OVERWRITE"] == '"False"'
+    assert config.exports(config.replace(c, bucket='a"$b')).count('a\\"\\$b') == 1
+    sinks.json_lines(spark.range(100).repartition(5), str(tmp_path / "few"), files=2)
+    assert len(list((tmp_path / "few").glob("part-*"))) == 2 and spark.read.json(str(tmp_path / "few")).count() == 100
     p = pipeline.Pipeline(lambda: spark.range(5), [lambda d: d.where("id > 1"), lambda d: d.withColumn("x", F.col("id") * 2)], lambda d: d.count())
     assert p.run() == 3
     done = {}
@@ -174,6 +179,7 @@ def test_phrases_and_topics(spark):
     rows = topics.topic_rows(model, bags, "doc_id").collect()
     assert {r.doc_id for r in rows} == set(range(20)) and all(0.02 <= r.topic_conf <= 1 and len(r.terms) == 6 for r in rows)
     assert {r.topic_rank for r in rows} <= {0, 1}
+    assert len(topics.shown(model, 2)) == 2 and all(x.startswith("topic # ") and x.count(",") == 1 for x in topics.shown(model, 2))
 
 
 def test_streams(spark, tmp_path):
