@@ -108,9 +108,15 @@ def without_salutation(c: Column) -> Column:
 STOPWORDS = sorted(set("a about after all also am an and any are as at be because been before being below between both but by can could did do does doing down during each few for from further had has have having he her here hers him his how i if in into is it its just me more most my no nor not of off on once only or other our ours out over own same she should so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with would you your yours".split()))
 
 
-def bag_of_words(c: Column, names: Column | None = None) -> Column:
-    """Lower-case words of three letters and more, without stopwords and parts of the given names."""
-    words = F.regexp_extract_all(F.lower(drop(c, URL, MAIL, PHONE, by=" ")), F.lit(r"[a-zà-öø-ÿ]+"), F.lit(0))
+#: The one token that stands for all numbers, where they are kept.
+NUMBER_TOKEN = "#number"
+
+
+def bag_of_words(c: Column, names: Column | None = None, numbers: bool = False) -> Column:
+    """Lower-case words of three letters and more, without stopwords and parts of the given names; ``numbers``: runs of digits count as one token."""
+    words = F.regexp_extract_all(F.lower(drop(c, URL, MAIL, PHONE, by=" ")), F.lit(r"[a-zà-öø-ÿ]+" + ("|[0-9]+" if numbers else "")), F.lit(0))
+    if numbers:
+        words = F.transform(words, lambda w: F.when(F.substring(w, 1, 1).between("0", "9"), NUMBER_TOKEN).otherwise(w))
     kept = F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(STOPWORDS))  # a hash set
     if names is None:
         return kept

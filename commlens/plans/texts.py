@@ -90,7 +90,16 @@ def p33(spark, sf_dir):
 
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in cl.STOPWORDS) + "]"
-_BAG = f"list_filter(regexp_extract_all(lower({_chain(_T, [cl.URL, cl.MAIL, cl.PHONE], ' ')}), '[a-zà-öø-ÿ]+'), lambda w: length(w) > 2 AND NOT list_contains({_STOP}, w))"
+
+
+def bag_sql(numbers: bool = False) -> str:
+    words = f"regexp_extract_all(lower({_chain(_T, [cl.URL, cl.MAIL, cl.PHONE], ' ')}), '[a-zà-öø-ÿ]+{'|[0-9]+' if numbers else ''}')"
+    if numbers:
+        words = f"list_transform({words}, lambda w: CASE WHEN regexp_matches(w, '^[0-9]') THEN '#number' ELSE w END)"
+    return f"list_filter({words}, lambda w: length(w) > 2 AND NOT list_contains({_STOP}, w))"
+
+
+_BAG = bag_sql()
 
 
 @query("p34_bag_of_words", f"SELECT doc_id, w AS word, count(*) AS n FROM (SELECT doc_id, unnest({_BAG}) AS w FROM documents) GROUP BY ALL")

@@ -8,7 +8,7 @@ from commlens.functions import cleaning as cl
 from commlens.operators import models, topics
 from commlens.plans.mails import table
 from commlens.plans.registry import query
-from commlens.plans.texts import _BAG
+from commlens.plans.texts import _BAG, bag_sql
 from commlens.sources import sinks
 from commlens.tables import shared_path
 
@@ -25,9 +25,10 @@ def a9(spark, sf_dir):
     return topics.frequent_terms(_bags(spark, sf_dir), "doc_id", F.col("words"))
 
 
-@query("a10_old_variant", f"{_DF} SELECT term, df FROM df, n WHERE df >= 3 AND df <= 0.05 * n")
+@query("a10_old_variant", f"{_DF.replace(_BAG, bag_sql(numbers=True))} SELECT term, df FROM df, n WHERE df >= 3 AND df <= 0.05 * n")
 def a10(spark, sf_dir):
-    return topics.frequent_terms(_bags(spark, sf_dir), "doc_id", F.col("words"), 3, 0.05)
+    bags = table(spark, sf_dir, "documents").select("doc_id", cl.bag_of_words(F.col("text"), numbers=True).alias("words"))
+    return topics.frequent_terms(bags, "doc_id", F.col("words"), 3, 0.05)
 
 
 @query("u3_removed_terms", f"{_DF} SELECT term, df FROM df, n WHERE NOT (df >= 3 AND df <= 0.1 * n)")
