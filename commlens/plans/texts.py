@@ -395,3 +395,12 @@ def a12(spark, sf_dir):
     d = _docs(spark, sf_dir).withColumn("size", F.length("text"))
     m = models.folder_means(d, ["source", "lang"], ["n_chars", "size"])
     return m.select("source", "lang", "n", F.round("n_chars", 6).alias("n_chars"), F.round("size", 6).alias("size"))
+
+
+@query("a12_folder_chunks", """
+WITH r AS (SELECT source, n_chars, row_number() OVER (PARTITION BY source ORDER BY md5('1-' || doc_id), doc_id) - 1 AS k, count(*) OVER (PARTITION BY source) // 20 AS chunks FROM documents),
+c AS (SELECT source, n_chars, CASE WHEN chunks = 0 THEN 0 ELSE least(k // 20, chunks - 1) + 1 END::INT AS folder_chunk FROM r)
+SELECT source, folder_chunk, count(*) AS n, round(avg(n_chars), 6)::DOUBLE AS n_chars FROM c GROUP BY ALL""")
+def a12c(spark, sf_dir):
+    m = models.folder_means(models.folder_chunks(_docs(spark, sf_dir).select("doc_id", "source", "n_chars"), "source", "doc_id", 20), ["source", "folder_chunk"], ["n_chars"])
+    return m.select("source", "folder_chunk", "n", F.round("n_chars", 6).alias("n_chars"))
