@@ -52,12 +52,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, folder: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes the files of a table that ``written`` gave and that nothing will read again."""
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        at = jvm.org.apache.hadoop.fs.Path(folder)
-        at.getFileSystem(conf).delete(at, True)
+        deleted(df.sparkSession, folder)
 
 
 def positions(uid: str = "uid") -> tuple[Column, Column]:

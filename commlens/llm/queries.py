@@ -68,16 +68,41 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from commlens.llm.suffix_dedup import remove_repeats
+    """The digest columns by strings of 400 bytes; ``text``, beside them, is the text without repeated passages of over fifty words."""
+    from commlens.llm.suffix_dedup import PASSAGE_BYTES, remove_repeats
 
-    return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+    return remove_repeats(documents(spark, sf_dir), text_length=PASSAGE_BYTES).withColumnRenamed("kept_text", "text")
+
+
+def tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and results rendered into all conversations, as the given ones hold none: even turns call, odd ones answer, every other call needs the one before."""
+    from commlens.llm.tool_calls import format_chats
+
+    t = F.col("turn").cast("string")
+    declared = F.when(F.col("turn") == 0, '<tools>[{"name": "f", "parameters": {"type": "object", "required": ["n"], "properties": {"n": {"type": "number"}}}}]</tools>').otherwise("")
+    needs = F.when(F.col("turn") % 4 == 2, F.concat(F.lit('{"$ref": "c'), (F.col("turn") - 2).cast("string"), F.lit('"}'))).otherwise(t)
+    call = F.concat(declared, F.lit('<tool_call>{"name": "f", "id": "c'), t, F.lit('", "arguments": {"n": '), needs, F.lit("}}</tool_call>"))
+    answer = F.concat(F.lit('<tool_response>{"id": "c'), (F.col("turn") - 1).cast("string"), F.lit('", "content": {"t": '), t, F.lit(".0}}</tool_response>"))
+    chats = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", F.when(F.col("turn") % 2 == 0, call).otherwise(answer).alias("text"))
+    return format_chats(chats.distinct()).where("kind <> 'message'").select("conv_id", "turn", "kind", "call_id", "status", "order_turn", "order_level", "json")
+
+
+TOOL_LINKS_SQL = """
+WITH c AS (SELECT DISTINCT conv_id, turn FROM conversations),
+r AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'call' ELSE 'result' END AS kind, 'c' || (turn - turn % 2) AS call_id, turn - turn % 2 AS called FROM c)
+SELECT r.conv_id, r.turn, r.kind, r.call_id,
+ CASE WHEN other.turn IS NOT NULL THEN 'ok' WHEN r.kind = 'call' THEN 'no_result' ELSE 'orphan' END AS status,
+ CASE WHEN r.kind = 'result' AND other.turn IS NOT NULL THEN called ELSE r.turn END AS order_turn, 0 AS order_level,
+ CASE r.kind WHEN 'call' THEN '{"arguments":{"n":' || CASE WHEN r.turn % 4 = 2 THEN '{"$ref":"c' || (r.turn - 2) || '"}' ELSE r.turn::VARCHAR END || '},"id":"' || r.call_id || '","name":"f","role":"assistant","type":"call"}'
+  ELSE '{"content":{"t":' || r.turn || '},"id":"' || r.call_id || '","name":' || CASE WHEN other.turn IS NOT NULL THEN '"f"' ELSE 'null' END || ',"role":"tool","type":"result"}' END AS json
+FROM r LEFT JOIN c other ON other.conv_id = r.conv_id AND other.turn = CASE r.kind WHEN 'call' THEN r.turn + 1 ELSE r.turn - 1 END"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)} | {"tool_links": tool_links}
 
 
 def oracle_sql() -> dict[str, str]:
     from commlens.llm import quality_rules
 
-    return {"op7_quality_rules": quality_rules.oracle()}
+    return {"op7_quality_rules": quality_rules.oracle(), "tool_links": TOOL_LINKS_SQL}

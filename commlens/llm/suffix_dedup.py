@@ -34,10 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commlens.llm.common import scratch, utf8, written
-from commlens.llm.wavelet import open_uri
+from commlens.llm.common import deleted, dropped, positions, slices, utf8, written
+from commlens.llm.side import Side, side_files
 
 CHUNK = 1 << 18
+PAD = 256
+#: Fifty-one words of prose have more bytes than this: passages of over fifty words are found as repeats of so many.
+PASSAGE_BYTES, PASSAGE_SEED = 240, 60
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -84,47 +87,12 @@ def text_seeds(text: bytes, length: int, seed: int) -> list[tuple[np.ndarray, ..
     return out
 
 
-def side_files(df: DataFrame, name: str) -> str:
-    """``df`` (part, idx, ...) as files by part; a folder."""
-    folder = scratch(df.sparkSession, name)
-    df.repartition("part").sortWithinPartitions("part", "idx").write.partitionBy("part").parquet(folder)
-    return folder
-
-
-def load_side(folder: str, part: int) -> pa.Table | None:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    store, base = open_uri(folder)
-    at = f"{base}/part={part}"
-    if store.get_file_info(at).type == fs.FileType.NotFound:
-        return None
-    files = [f for f in store.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet")]
-    return pa.concat_tables([pq.read_table(f.path, filesystem=store, partitioning=None) for f in files]) if files else None
-
-
-class Side:
-    """A side table's rows by row number, for the part that is being scanned."""
-
-    def __init__(self, folder: str):
-        self.folder, self.part, self.index, self.cols = folder, None, {}, {}
-
-    def rows(self, part: int, idx: int) -> tuple[int, int]:
-        if part != self.part:
-            t, self.part, self.index, self.cols = load_side(self.folder, part), part, {}, {}
-            if t is not None:
-                t = t.sort_by("idx")
-                self.cols = {c: t.column(c).to_numpy() for c in t.column_names}
-                u, at = np.unique(self.cols["idx"], return_index=True)
-                self.index = dict(zip(u.tolist(), zip(at.tolist(), np.append(at[1:], len(t)).tolist())))
-        return self.index.get(idx, (0, 0))
-
-
 def repeated_windows(group: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int) -> np.ndarray:
     """Column-wise construction over aligned fragments.
 
-    group: fragments of equal group (in runs) are compared.  text: fragments x columns.  lo, hi: the first and the
-    last column at which a window of each fragment starts.  True where such a window stands in another fragment too.
+    group: fragments of equal group (in runs) are compared.  text: fragments x columns, bytes or, where a fragment has
+    none, PAD, which no byte equals.  lo, hi: the first and the last column at which a window of each fragment starts.
+    True where such a window stands in another fragment too.
     """
     m, cols = text.shape
     found = np.zeros((m, max(cols - length + 1, 0)), dtype=bool)
@@ -138,7 +106,7 @@ def repeated_windows(group: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np
     d[:m][new_group] = never
     d[m] = never
     for j in range(cols):
-        key = g[order] << 8 | text[order, j]
+        key = g[order] << 9 | text[order, j]
         perm = np.argsort(key, kind="stable")
         same = key[perm][1:] == key[perm][:-1]
         # What now stands side by side agrees from the latest of the columns between them in the old order.
@@ -171,7 +139,7 @@ def _find_seeds(length: int, seed: int):
                 [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(uid), *[pa.array(x.astype(np.int32)) for x in (a, p, b)]], names=["h1", "h2", "uid", "a", "p", "b"]
             )
 
-        for batch in parts:
+        for batch in slices(parts, 1):
             rows, held = [], 0
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if len(text) < length:
@@ -192,7 +160,7 @@ def _find_seeds(length: int, seed: int):
 def _fetch(folder: str, length: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side = Side(folder)
-        for batch in parts:
+        for batch in slices(parts, 2):
             out = []
             for part, idx, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 lo, hi = side.rows(part, idx)
@@ -240,7 +208,7 @@ def _construct(length: int, seed: int, group: int, hold: int = 8192):
                 return []
             h, n, uid, a, p, b, frags = zip(*rows)
             h, uid, a, p, b = (np.array(x, dtype=np.int64) for x in (h, uid, a, p, b))
-            text = np.zeros((len(rows), cols), np.uint8)
+            text = np.full((len(rows), cols), PAD, np.uint16)
             at = left - (p - a)
             for i, f in enumerate(frags):
                 text[i, at[i] : at[i] + len(f)] = np.frombuffer(f, np.uint8)
@@ -277,26 +245,32 @@ def _window_hashes(length: int):
     return run
 
 
-def _cut(folder: str):
+def _left(text: bytes, side: Side, part: int, idx: int) -> tuple[bytes, int]:
+    """What is left of a text without the spans of its row, and the number of maximal removed runs."""
+    i, j = side.rows(part, idx)
+    if i == j:
+        return text, 0
+    spans, kept, at, end = 0, [], 0, -1
+    o = np.argsort(side.cols["lo"][i:j], kind="stable")
+    for x, y in zip(side.cols["lo"][i:j][o].tolist(), side.cols["hi"][i:j][o].tolist(), strict=True):
+        if x > end:
+            spans += 1
+            kept.append(text[at:x])
+        end = at = max(end, y)
+    return b"".join([*kept, text[at:]]), spans
+
+
+def _cut(folders: list[str]):
+    """An Arrow map: sizes and digest by the first folder's spans, the text by the last one's."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side = Side(folder)
-        for batch in parts:
+        sides = [Side(f) for f in folders]
+        for batch in slices(parts, 2):
             out = []
             for part, idx, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                i, j = side.rows(part, idx)
-                spans, kept, at = 0, [], 0
-                if j > i:
-                    o = np.argsort(side.cols["lo"][i:j], kind="stable")
-                    lo, hi = side.cols["lo"][i:j][o].tolist(), side.cols["hi"][i:j][o].tolist()
-                    end = -1
-                    for x, y in zip(lo, hi, strict=True):
-                        if x > end:
-                            spans += 1
-                            kept.append(text[at:x])
-                        end = at = max(end, y)
-                kept.append(text[at:])
-                left = b"".join(kept)
-                out.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
+                left, spans = _left(text, sides[0], part, idx)
+                shown = _left(text, sides[1], part, idx)[0] if len(sides) > 1 else left
+                out.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest(), shown.decode("utf-8", "ignore")))
             c = list(zip(*out)) if out else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([*batch.columns[3:], *[pa.array(x, k) for x, k in zip(c, kinds, strict=True)]], names=[*batch.schema.names[3:], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
@@ -304,23 +278,23 @@ def _cut(folder: str):
     return run
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = 400, seed: int = 100, group: int = 1024) -> DataFrame:
-    """The ``keep`` columns and n_bytes, n_removed, n_spans, kept_sha256, kept_text (a character cut through is left out)."""
-    columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    own = written(df.select(F.monotonically_increasing_id().alias("uid"), utf8(text_col).alias("t"), *columns), "texts")
+def repeats(own: DataFrame, length: int, seed: int, group: int) -> str:
+    """Side files of the spans (lo, hi) that cover the repeated strings of ``length`` bytes of ``own`` (uid, t); spans may overlap.
+
+    Tables of the way there are deleted when nothing needs them any more.
+    """
     seeds = written(own.select("uid", "t").mapInArrow(_find_seeds(length, seed), SEEDS), "seeds")
     # Written, so that the join's sides are plain exchanges and adaptive execution can split a seed that holds a third of the rows.
     shared = written(seeds.groupBy("h1").agg(F.count("*").alias("n"), (F.min("h2") != F.max("h2")).alias("mixed")).where("n > 1").select("h1", "mixed"), "shared-seeds")
     among = written(seeds.join(shared, "h1"), "shared")
+    dropped(seeds)
     kinds = among.where("mixed").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "p", "b")).alias("r"))
     kinds = written(kinds.select("h1", "h2", "n", "r.*"), "kinds")
     # Written by itself, so that adaptive execution can split the copies of one fragment.
-    equal = among.where("mixed").join(kinds.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("uid", "a", "b")
-    equal = among.where("NOT mixed").select("uid", "a", "b").union(written(equal, "equal"))
-    parts = (F.shiftright("uid", 33).alias("part"), F.col("uid").bitwiseAND((1 << 33) - 1).alias("idx"))
+    equal = written(among.where("mixed").join(kinds.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("uid", "a", "b"), "equal")
     per_seed = written(kinds.groupBy("h1").agg(F.count("*").alias("n")), "kinds-by-seed")
-    wanted = side_files(kinds.drop("n").join(per_seed, "h1").select(*parts, "h1", "n", "a", "p", "b"), "wanted")
-    fragments = own.select(*parts, "t").mapInArrow(_fetch(wanted, length), FRAGMENTS)
+    wanted = side_files(kinds.drop("n").join(per_seed, "h1").select(*positions(), "h1", "n", "a", "p", "b"), "wanted")
+    fragments = own.select(*positions(), "t").mapInArrow(_fetch(wanted, length), FRAGMENTS)
     # Fragments of a seed meet in one task only where there are at most ``group``; those of larger ones are dealt out by text.
     salt = F.when(F.col("n") > group, F.xxhash64("uid", "a")).otherwise(0)
     solved = fragments.repartition("h1", salt).sortWithinPartitions("h1").mapInArrow(_construct(length, seed, group), "uid long, lo long, hi long, frag binary")
@@ -328,11 +302,29 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     windows = solved.where("frag IS NOT NULL").mapInArrow(_window_hashes(length), "w1 long, w2 long, uid long, lo long")
     twice = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1"), "twice")
     spans = (
-        equal.select("uid", F.col("a").cast("long").alias("lo"), (F.col("b") + length).cast("long").alias("hi"))
+        among.where("NOT mixed").select("uid", "a", "b").union(equal).select("uid", F.col("a").cast("long").alias("lo"), (F.col("b") + length).cast("long").alias("hi"))
         .union(solved.where("frag IS NULL").select("uid", "lo", "hi"))
         .union(windows.join(twice, ["w1", "w2"], "left_semi").select("uid", "lo", (F.col("lo") + length).alias("hi")))
-    )
-    marks = side_files(spans.select(*parts, "lo", "hi"), "marks")
+    )
+    marks = side_files(spans.select(*positions(), "lo", "hi"), "marks")
+    for table in (shared, among, kinds, equal, per_seed, solved, twice):
+        dropped(table)
+    deleted(own.sparkSession, wanted)
+    return marks
+
+
+def remove_repeats(
+    df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = 400, seed: int = 100, group: int = 4096,
+    text_length: int | None = None, text_seed: int = PASSAGE_SEED,
+) -> DataFrame:
+    """The ``keep`` columns and n_bytes, n_removed, n_spans, kept_sha256, kept_text (a character cut through is left out).
+
+    ``text_length``: kept_text is what is left when repeated strings of this many bytes are removed instead of those of
+    ``length``, which the other columns stay about.
+    """
+    columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
+    own = written(df.select(F.monotonically_increasing_id().alias("uid"), utf8(text_col).alias("t"), *columns), "texts")
+    marks = [repeats(own, n, s, group) for n, s in ((length, seed), (text_length, text_seed)) if n]
     kept = ", ".join(f"k{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = own.select(*parts, "t", *[f"k{i}" for i in range(len(keep))]).mapInArrow(_cut(marks), f"{kept}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    out = own.select(*positions(), "t", *[f"k{i}" for i in range(len(keep))]).mapInArrow(_cut(marks), f"{kept}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
