@@ -88,8 +88,10 @@ def test_keep_one(spark):
 
     texts = corpus(2, 24)
     want = {c for c in brute.components(list(range(len(texts))), [brute.simhash(t) for t in texts])}
-    rows = keep_one(frame(spark, texts, False)).collect()
+    df = frame(spark, texts, False).withColumns({c: F.lit(7) for c in ("uid", "__row", "c0", "part", "idx", "root")}).withColumn("tags", F.array(F.struct(F.lit(1).alias("a"))))
+    rows = keep_one(df).collect()
     assert sorted(r.doc_id for r in rows) == sorted(want)
+    assert all(r.text == texts[r.doc_id] and r["__row"] == r.uid == r.c0 == 7 and r.tags[0].a == 1 for r in rows) and keep_one(df).columns == df.columns
 
 
 def test_components(spark):
@@ -101,7 +103,7 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-@pytest.mark.parametrize("length,seed,group", [(40, 10, 4096), (40, 10, 3), (24, 24, 4096), (400, 100, 4096)])
+@pytest.mark.parametrize("length,seed,group", [(40, 10, 4096), (40, 10, 3), (24, 24, 4096), (400, 100, 4096)])
 def test_suffix_dedup(spark, length, seed, group):
     from commlens.llm.suffix_dedup import remove_repeats
 
@@ -122,6 +124,21 @@ def test_suffix_dedup(spark, length, seed, group):
     assert remove_repeats(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_nul_and_ids(spark):
+    """NULs beside a repeat, null and repeated ids, and a text cut at another length than the digest."""
+    from commlens.llm.suffix_dedup import remove_repeats
+
+    rng = random.Random(31)
+    s = words(rng, 120)[:600]
+    texts = ["\0" + s, s, s + "\0\0", "\0\0" + s[:450] + "\0", "\0" * 900, words(rng, 50) + s[100:350], words(rng, 40) + s[100:350] + "end", None, None]
+    rows = [(None if i % 3 == 2 else i // 2, t, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, nth int").repartition(2)
+    got = {r.nth: r for r in remove_repeats(df, keep=("doc_id", "nth"), text_length=200).collect()}
+    assert len(got) == len(texts) and all(got[i].doc_id == k for k, _, i in rows)
+    for i, (w, v) in enumerate(zip(brute.remove_repeats(texts, 400), brute.remove_repeats(texts, 200), strict=True)):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == w[:4] and got[i].kept_text == v[4].decode("utf-8", "ignore")
+
+
 def test_tokens_and_packing(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -155,6 +172,29 @@ def test_tokens_and_packing(spark, tmp_path):
     assert encode_and_read_back(empty(spark), tokenizer_path()).count() == 0
 
 
+def test_null_and_repeated_ids(spark):
+    from tokenizers import Tokenizer
+
+    from commlens.llm.common import tokenizer_path
+    from commlens.llm.packing import pack
+    from commlens.llm.quality_rules import judge
+    from commlens.llm.wavelet import encode_and_read_back
+
+    rng, tok = random.Random(77), Tokenizer.from_file(tokenizer_path())
+    texts = [words(rng, 10 + i) for i in range(30)]
+    rows = [(None if i < 5 else 3 if i < 20 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted(((r[0] is not None, r[0] or 0), brute.crc(brute.token_ids(tok, r[1]))) for r in rows)
+    back = encode_and_read_back(df, tokenizer_path()).collect()
+    assert sorted(((r.doc_id is not None, r.doc_id or 0), r.ids_crc32) for r in back) == want
+    back.sort(key=lambda r: r.start)
+    assert [r.start for r in back] == np.cumsum([0, *[r.n_tokens for r in back]])[:-1].tolist() and [(r.doc_id is not None, r.doc_id or 0) for r in back] == [w[0] for w in want]
+    pieces = pack(df, tokenizer_path()).collect()
+    whole = [((r.doc_id is not None, r.doc_id or 0), r.ids_crc32) for r in pieces if r.length == r.doc_tokens]
+    assert len(whole) > 20 and set(whole) <= set(want) and sum(r.length for r in pieces) == sum(r.n_tokens for r in back)
+    assert sorted((r.doc_id or -1, r.n_words) for r in judge(df).collect()) == sorted((k or -1, len(t.split())) for k, t in rows)
+
+
 def test_best_fit(spark):
     from commlens.llm.packing import best_fit_decreasing
 
@@ -191,9 +231,11 @@ def test_tiling(spark):
     docs = [(0, f"{base} {' '.join(reversed(sentences))} {base}"), (1, base), (2, None), (3, "these TWO, words here"), (4, " ".join(sentences[:2])), (5, ""), (None, " ".join(sentences))]
     b = spark.createDataFrame(items, "item_id long, text string")
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("item", F.lit(2))
-    for limit in (2_000_000, 0):
-        got = {(r.doc_id, r.item_id) for r in contaminated(d, b, broadcast_words=limit).collect()}
+    for block in (2_000_000, 20):
+        got = {(r.doc_id, r.item_id) for r in contaminated(d, b, block_words=block).collect()}
         assert got == {(0, 1), (3, 4), (None, 1)}
+    long = spark.createDataFrame([(7, f"{words(rng, 30_000)} {items[0][1]} {words(rng, 30_000)}")] * 2, "doc_id long, text string")
+    assert [(r.doc_id, r.item_id, r.covered_words) for r in contaminated(long, b.union(b.where("item_id = 1"))).collect()] == [(7, 1, 48)] * 4
     e = spark.createDataFrame([], "doc_id long, text string")
     assert contaminated(e, b).count() == 0 and contaminated(d, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
@@ -226,6 +268,85 @@ def test_language(spark):
     assert identify(df.limit(0)).count() == 0
 
 
+def test_language_brute_force(spark):
+    """Counts, nearest centroid and floor against plain Python; foreign and random texts are rejected, own ones of any length are not."""
+    from commlens.llm.language import counts, identify, size_of, train, unit
+
+    def plain(text, dims):
+        t = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+        if not t:
+            return None
+        c, m, out = [ord(x) for x in f" {t} "], (1 << 32) - 1, [0] * dims
+        for i in range(len(c)):
+            one = c[i] * 0x9E3779B1 & m
+            grams = [one]
+            if i + 1 < len(c):
+                two = (((one ^ one >> 15) * 0x85EBCA6B & m) + (c[i + 1] * 0xC2B2AE35 & m)) & m
+                grams.append(two)
+                if i + 2 < len(c):
+                    grams.append((((two ^ two >> 13) * 0x27D4EB2F & m) + (c[i + 2] * 0x165667B1 & m)) & m)
+            for g in grams:
+                out[(g * 0x9E3779B1 & m) >> 32 - (dims.bit_length() - 1)] += 1
+        return out
+
+    rng = random.Random(21)
+    syllables = {"aa": "ka lo mi tu re san vol", "bb": "sch ein ung tig ver ach zur", "cc": "que oi eau ment é ai nous"}
+    word = lambda k: "".join(rng.choice(syllables[k].split()) for _ in range(rng.randrange(1, 4)))
+    rows = [(i, " ".join(word(k) for _ in range(int(2 ** rng.uniform(2, 9)))), k) for i, k in enumerate(rng.choice(sorted(syllables)) for _ in range(900))]
+    odd = ["".join(rng.choice("qwxyzjfgbdp") for _ in range(900)), " ".join("".join(rng.choice("bcdfghjkpwxyz") for _ in range(6)) for _ in range(150)), "слово и дело " * 30]
+    rows += [(5000 + i, t, None) for i, t in enumerate(odd)] + [(6000, "kalo", None), (6001, word("bb"), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train(df, "doc_id", "text", "lang", 1500, 4, 4096, 0.002, 0.9)
+    got = {r.doc_id: r for r in identify(df).collect()}
+    for i, text, _ in rows[::30] + rows[-5:]:
+        n = np.array(plain(text, 4096))
+        assert (counts(text, 4096) == n).all()
+        v = np.sqrt(n) * np.array(model.idf, float)
+        cos = [float(np.dot(v, c)) / (np.linalg.norm(v) * np.linalg.norm(c)) for c in np.array(model.centroids, float)]
+        assert got[i].lang_pred == model.langs[int(np.argmax(cos))] and abs(got[i].score - max(cos)) < 1e-4
+        assert got[i].rejected == (max(cos) < model.floors[size_of(n)]) or abs(max(cos) - model.floors[size_of(n)]) < 1e-4
+    assert all(got[5000 + i].rejected for i in range(len(odd))) and not got[6000].rejected and not got[6001].rejected
+    assert np.mean([got[i].rejected for i, *_ in rows[:900]]) < 0.02
+    assert abs(np.linalg.norm(unit(np.ones(4))) - 1) < 1e-9
+
+
+def test_one_text_or_id_in_most_rows(spark):
+    """Null ids and repeated texts don't swell the samples; rows stay whole."""
+    from commlens.llm.language import identify
+    from commlens.llm.quality_gam import classify
+
+    rng = random.Random(1)
+    rows = [(None, "the same words again and again", "en")] * 400 + [(i, words(rng, 30), "en") for i in range(100)] + [(7, "der die das und", "de")] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert identify(df, docs_per_lang=50).count() == 600
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0), (9, 1)] * 30, "doc_id long, quality int")
+    got = classify(df, labels).collect()
+    assert len(got) == 600 and len({r.score for r in got if r.doc_id == 7}) == 2
+
+
+def test_quality_features_brute_force():
+    """Bin additions against sums of single lookups, features against plain counts."""
+    from commlens.llm.quality_gam import FEATURES, features_of, fit
+
+    rng = random.Random(14)
+    for t in ["", "One two.", "A|B|C\n\nA|B|C\nx " * 5, "é! " * 400, words(rng, 900), "SHOUT " * 9000, "\n \t\n", "a b c a b c a b c"]:
+        f, w = dict(zip(FEATURES, features_of(t.encode()))), t.encode().split()
+        solid = max(1, len(t.encode()) - sum(t.count(c) for c in " \t\n\r\v\f"))
+        assert f["log_words"] == pytest.approx(np.log1p(len(w))) and f["exclaims"] == pytest.approx(t.count("!") / max(1, len(w))) and f["upper"] == pytest.approx(sum("A" <= c <= "Z" for c in t) / solid)
+        assert f["distinct"] == pytest.approx(len(set(w)) / max(1, len(w))) and f["cells"] == pytest.approx(t.count("|") / max(1, len(w)))
+        three = [tuple(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 3 else []
+        assert f["repeats"] == pytest.approx((len(three) - len(set(three))) / max(1, len(three) - 1))
+        assert all(np.isfinite(list(f.values())))
+    x = np.array([[rng.random() for _ in range(4)] for _ in range(400)])
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    m = fit(x, y, rounds=20, pair_rounds=40)
+    b = m.bins(x)
+    for i in range(0, 400, 37):
+        raw = m.base + sum(t[sum(e < v for e in edges)] for t, edges, v in zip(m.tables, m.edges, x[i])) + sum(t[b[i, p], b[i, q]] for p, q, t in m.pairs)
+        assert m.score(x[i : i + 1])[0] == pytest.approx(1 / (1 + np.exp(-raw)))
+    assert np.mean((m.score(x) > 0.5) == y) > 0.9  # an interaction that no single feature shows
+
+
 def test_quality_classifier(spark):
     from commlens.llm.quality_gam import classify
 
@@ -286,6 +407,56 @@ def test_html(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def test_html_copies_are_no_template(spark):
+    """Nine pages of one story and one of another: both stories stay; so does a new text in a slot that is constant elsewhere."""
+    from commlens.llm.html_wrappers import extract
+
+    page = lambda h, p: f"<html><body><div class='c'><h1>{h}</h1><p>{p}</p></div></body></html>"
+    rows = [(i, "http://a.example/x", page("Day 1", "One story of many words.")) for i in range(9)] + [(9, "http://a.example/y", page("Day 9", "An article of its own."))]
+    rows += [(20 + i, "http://b.example/x", f"<div><p>Shared note.</p><p>Own {i}.</p></div><div class='z'>Same box</div>") for i in range(10)] + [(40, "http://b.example/z", "<div><p>Own 40.</p></div><div class='z'>Not the same</div><div class='only'>Extra</div>")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Day 1 One story of many words." for i in range(9)) and got[9] == "Day 9 An article of its own."
+    assert all(got[20 + i] == f"Own {i}." for i in range(10)) and got[40] == "Own 40. Not the same Extra"
+
+
+def test_html_deep_and_long(spark):
+    from commlens.llm.html_wrappers import extract
+
+    deep = "<div>" * 3000 + "<p>Deep {0}.</p>" + "</div>" * 3000
+    rows = [(i, "http://d.example/", deep.format(i)) for i in range(6)] + [(9, "http://d.example/", "<div class='q'><p>Flat.</p></div>"), (10, "http://d.example/", "<p>" + "long word " * 200_000 + "</p>")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Deep {i}." for i in range(6)) and got[9] == "Flat." and got[10] == ("long word " * 200_000).strip()
+
+
+def test_html_brute_force(spark):
+    """Unmarked pages: what a plain count of blocks by their path says is constant is dropped."""
+    from commlens.llm.html_wrappers import extract
+
+    rng, pages, blocks = random.Random(3), [], []
+    for i in range(30):
+        own, html = [], "<html><body>"
+        for box in range(4):
+            if rng.random() < 0.8 or box == 0:
+                html += f"<div class='b{box}'>"
+                for tag in sorted(rng.choices(["h2", "p"], k=rng.randrange(1, 4))):
+                    text = rng.choice(["Always here", "Always here", f"Words {i} {rng.randrange(99)}"]) if box else "Top"
+                    html += f"<{tag}>{text}</{tag}>"
+                    own.append(((box, tag), text))
+                html += "</div>"
+        pages.append((i, "http://c.example/", html + "</body></html>"))
+        blocks.append(own)
+    on = {}
+    for own in blocks:
+        for slot in {s for s, _ in own}:
+            on.setdefault(slot, [0, {}])[0] += 1
+        for slot, text in set(own):
+            on[slot][1][text] = on[slot][1].get(text, 0) + 1
+    gone = {(s, t) for s, (n, by) in on.items() for t, k in by.items() if n >= 5 and k >= 0.8 * n}
+    want = {i: " ".join([t for s, t in own if (s, t) not in gone] or [t for _, t in own]) for i, own in enumerate(blocks)}
+    assert gone
+    assert {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()} == want
+
+
 CALL = '<tool_call>{{"id": "{0}", "name": "{1}", "arguments": {2}}}</tool_call>'
 RESULT = '<tool_response>{{"id": "{0}", "content": {1}}}</tool_response>'
 
@@ -323,6 +494,68 @@ def test_tool_calls(spark):
     assert format_chats(df.limit(0)).count() == 0
 
 
+def test_tool_calls_odd_json(spark):
+    """Lone surrogates, names and ids that are no strings, deep values, broken schemas: a status each, never a crash."""
+    from commlens.llm.tool_calls import format_chats
+
+    deep = '[' * 100_000 + ']' * 100_000
+    blocks = [
+        (CALL.format("a", "f", '{"x": "\\ud800"}'), "no_result"), (CALL.format("\\udc00", "f", "{}"), "bad_json"), ('<tool_call>{"id": 5, "name": "f", "arguments": {}}</tool_call>', "bad_json"),
+        ('<tool_call>{"id": "b", "name": 5, "arguments": {}}</tool_call>', "bad_json"), (CALL.format("c", "f", deep), "bad_json"), (CALL.format("d", "f", '{"x": NaN}'), "bad_json"),
+        (CALL.format("e", "f", '{"x": 1e999}'), "bad_json"), (CALL.format("g", "odd", "{}"), "bad_schema"), ("<tool_call>[]</tool_call>", "bad_json"), (CALL.format("h", "f", '{"$ref": "\\ud800"}'), "no_result"),
+        (CALL.format("i", "f", '{"x": "é\\u0000\\n"}'), "no_result"), ("<tool_call></tool_call>", "bad_json"),
+    ]
+    tools = '<tools>[{"name": 7}]</tools><tools>{"name": "z"}</tools><tools>[{"name": "f"}, {"name": "odd", "parameters": ["x"]}]</tools><tools>[{"name": "\\ud800"}]</tools>'
+    rows = [(1, 0, "system", tools), *[(1, i + 1, "assistant", b) for i, (b, _) in enumerate(blocks)], (1, 50, "tool", RESULT.format("a\\ud800", "1")), (1, 51, "tool", RESULT.format("zz", deep)), (None, None, None, CALL.format("n", "f", "{}"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.status for r in format_chats(df).collect() if r.kind != "message"}
+    assert [got[1, i + 1] for i in range(len(blocks))] == [s for _, s in blocks]
+    assert got[1, 50] == "bad_json" and got[1, 51] == "bad_json" and got[None, None] == "unknown_tool"
+
+
+def test_tool_calls_brute_force(spark):
+    """Links, order and status of random conversations against plain Python."""
+    from commlens.llm.tool_calls import format_chats
+
+    rng, rows, calls, results = random.Random(12), [], {}, {}
+    for conv in range(6):
+        for turn in range(12):
+            text = ""
+            for item in range(rng.randrange(4)):
+                own = f"c{rng.randrange(14)}"
+                if rng.random() < 0.7:
+                    refs = [f"c{rng.randrange(14)}" for _ in range(rng.choice([0, 0, 1, 2]))]
+                    text += CALL.format(own, "f", json.dumps({"x": [{"$ref": r} for r in refs]}))
+                    calls.setdefault((conv, own), []).append((turn, item, refs))
+                else:
+                    text += RESULT.format(own, rng.randrange(9))
+                    results.setdefault((conv, own), []).append((turn, item))
+            rows.append((conv, turn, "assistant", text))
+    want, order = {}, {}
+    for conv in range(6):
+        first = {k: min(v) for (c, k), v in calls.items() if c == conv}
+        key, grown = {}, True
+        while grown:
+            grown = False
+            for k, (turn, _, refs) in first.items():
+                known = [r for r in refs if r in first]
+                if k not in key and all(r in key for r in known):
+                    key[k] = max([(turn, 0), *[(key[r][0], key[r][1] + 1) for r in known]])
+                    grown = True
+        for k, (turn, item, _) in first.items():
+            order[conv, turn, item] = key.get(k, (turn, 0))
+        for (c, k), v in calls.items():
+            for turn, item, _ in v if c == conv else ():
+                want[conv, turn, item] = "duplicate_id" if (turn, item) != first[k][:2] else "cycle" if k not in key else "ok" if (conv, k) in results else "no_result"
+        for (c, k), v in results.items():
+            for at in v if c == conv else ():
+                want[conv, *at] = "orphan" if k not in first else "ok" if at == min(v) else "duplicate_result"
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [r for r in format_chats(df, {"f": {}}).collect() if r.kind != "message"]
+    assert {(r.conv_id, r.turn, r.item): r.status for r in got} == want and len(got) == len(want)
+    assert all((r.order_turn, r.order_level) == order[r.conv_id, r.turn, r.item] for r in got if r.kind == "call" and r.status in ("ok", "no_result"))
+
+
 def test_pipeline(spark, tmp_path):
     """The stages in order against their brute-force versions, each on what the one before kept."""
     import corpus_pipeline
@@ -348,7 +581,7 @@ def test_pipeline(spark, tmp_path):
         if name == "repeated_passages":
             rows = {r.doc_id: r for r in d.collect()}
             order = sorted(seen[1])
-            for i, w in zip(order, brute.remove_repeats([texts[i] for i in order])):
+            for i, w in zip(order, brute.remove_repeats([texts[i] for i in order], corpus_pipeline.PASSAGE_BYTES)):
                 assert rows[i].text == w[4].decode("utf-8", "ignore") and rows[i].n_chars == len(rows[i].text)
     assert seen[0] == set(range(len(texts))) - {65, 66, 67}
     keep = sorted(seen[0])
