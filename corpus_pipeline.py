@@ -14,7 +14,7 @@ from commlens.llm.decontamination import drop_contaminated
 from commlens.llm.language import identify
 from commlens.llm.packing import pack
 from commlens.llm.simhash import keep_one
-from commlens.llm.suffix_dedup import remove_repeats
+from commlens.llm.suffix_dedup import PASSAGE_BYTES, PASSAGE_SEED, remove_repeats
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +29,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that a repeated 400-byte string covers; every document stays, ``n_chars`` is the new length."""
+    """Texts without repeated passages of over fifty words; every document stays, ``n_chars`` is the new length.
+
+    A passage is a string of at least ``PASSAGE_BYTES`` bytes that stands at two places; all its places lose it.
+    """
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kept = remove_repeats(docs, keep=tuple(rest)).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long"))
+    kept = remove_repeats(docs, keep=tuple(rest), length=PASSAGE_BYTES, seed=PASSAGE_SEED).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
 
 
