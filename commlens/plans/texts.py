@@ -336,7 +336,13 @@ def p38(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.posexplode(z).alias("line", "zone")).select("doc_id", F.col("line").cast("long").alias("line"), "zone")
 
 
-@query("p25_signature")
+@query("p25_signature", f"""
+WITH l AS (SELECT doc_id, unnest(string_split({_T}, chr(10))) AS line, generate_subscripts(string_split({_T}, chr(10)), 1) - 1 AS i, len(string_split({_T}, chr(10))) AS n FROM documents),
+c AS (SELECT *, i >= greatest(n - 12, 1) AND (regexp_matches(line, '^--[ \\t\\n\\f\\r\\v]*$') OR regexp_matches(lower(trim(line)), '^(best|regards|best regards|kind regards|sincerely|thanks|thank you|cheers|yours|viele grüße|mfg|cordialement)[,.! ]*$')
+  OR (length(trim(line)) > 2 AND (lower(trim(line)) = 'jo doe' OR regexp_replace(lower(line), '[^a-z]+', '', 'g') = 'jo'))) AS starts FROM l),
+a AS (SELECT doc_id, any_value(n) AS n, coalesce(min(i) FILTER (starts), any_value(n)) AS cut FROM c GROUP BY 1)
+SELECT a.doc_id, (sum(CASE WHEN i < cut THEN length(line) ELSE 0 END) + a.cut - 1)::INT AS body_chars, (sum(CASE WHEN i >= cut THEN length(line) ELSE 0 END) + greatest(a.n - a.cut - 1, 0))::INT AS signature_chars
+FROM a JOIN c ON c.doc_id = a.doc_id GROUP BY a.doc_id, a.n, a.cut""")
 def p25(spark, sf_dir):
     from commlens.functions.contacts import signature
 
