@@ -15,7 +15,7 @@ def records(mails: DataFrame) -> DataFrame:
         F.array(F.struct(F.col("header.sender.name").alias("name"), F.col("header.sender.email").alias("email"), F.lit(True).alias("sends"))),
         F.transform("header.recipients", lambda r: F.struct(r["name"].alias("name"), r["email"].alias("email"), F.lit(False).alias("sends"))),
     )
-    rows = mails.select(F.explode(who).alias("w"), to.alias("to"))
+    rows = mails.select(F.explode_outer(who).alias("w"), to.alias("to"))  # never empty; a plain explode may parse twice, once in a filter below it
     return rows.select("w.name", "w.email", F.when(F.col("w.sends"), F.col("to")).otherwise(F.array().cast("array<string>")).alias("writes_to"))
 
 

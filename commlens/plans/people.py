@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commlens.functions import contacts, headers
+from commlens.functions import contacts, header_rows, headers
 from commlens.operators import edges, persons, threads
 from commlens.plans.mails import MESSAGES_SQL, PEOPLE_SQL, customers, messages, order_mails, suppliers, table
 from commlens.plans.registry import query
@@ -27,7 +27,7 @@ def p16(spark, sf_dir):
 @query("p12_recipients", f"""WITH {PEOPLE_SQL}, {_LINES}
 SELECT l_orderkey AS doc_id, l.name, l.email, CASE WHEN l_linenumber <= 3 THEN 'to' ELSE 'cc' END AS type, count(*) AS n FROM lines l JOIN mail ON doc_id = l_orderkey GROUP BY ALL""")
 def p12(spark, sf_dir):
-    r = _parsed(spark, sf_dir).select("doc_id", F.explode("header.recipients").alias("r"))
+    r = _parsed(spark, sf_dir).select("doc_id", F.explode_outer("header.recipients").alias("r")).where("r IS NOT NULL")  # a plain explode would parse twice, once in a filter below it
     return r.groupBy("doc_id", F.col("r.name").alias("name"), F.col("r.email").alias("email"), F.col("r.type").alias("type")).agg(F.count("*").alias("n"))
 
 
@@ -69,7 +69,7 @@ def p28(spark, sf_dir):
 
 @query("p29_writes_to", f"WITH {PEOPLE_SQL}, {_LINES} SELECT DISTINCT l_orderkey AS doc_id, lines.email FROM lines JOIN mail ON doc_id = l_orderkey")
 def p29(spark, sf_dir):
-    return _parsed(spark, sf_dir).select("doc_id", F.explode(F.array_distinct(F.transform("header.recipients", lambda r: r["email"]))).alias("email"))
+    return _parsed(spark, sf_dir).select("doc_id", F.explode_outer(F.array_distinct(F.transform("header.recipients", lambda r: r["email"]))).alias("email")).where("email IS NOT NULL")
 
 
 @query("p30_organisation", f"""
@@ -126,7 +126,7 @@ def _quoted(spark, sf_dir):
 
 @query("t1_split_mails", f"WITH {PEOPLE_SQL}, {_LINES} SELECT doc_id, p AS pos, CASE p WHEN 0 THEN doc_id || '_part_0_of_2' ELSE doc_id || '_part_1_of_2' END AS part_id, email AS sender_email FROM mail, (VALUES (0), (1)) v(p)")
 def t1(spark, sf_dir):
-    parts = threads.split_mails(_quoted(spark, sf_dir)).select(F.col("doc_id").alias("part_id"), headers.header(F.col("header_text"))["sender"]["email"].alias("sender_email"))
+    parts = threads.split_mails(_quoted(spark, sf_dir)).select(F.col("doc_id").alias("part_id"), header_rows.sender_of(F.col("header_text"))["email"].alias("sender_email"))
     ids = F.regexp_extract("part_id", "^([0-9]+)_part_([0-9]+)_of", 1).cast("long"), F.regexp_extract("part_id", "^([0-9]+)_part_([0-9]+)_of", 2).cast("int")
     return parts.select(ids[0].alias("doc_id"), ids[1].alias("pos"), "part_id", "sender_email")
 
@@ -135,7 +135,7 @@ def t1(spark, sf_dir):
 def t2(spark, sf_dir):
     whole = threads.split_mails(_quoted(spark, sf_dir), connected=True)
     rows = whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode("parts").alias("pos", "p"))
-    return rows.select("doc_id", "pos", F.col("p.doc_id").alias("part_id"), "p.successor", "p.predecessor", headers.header(F.col("p.header_text"))["sender"]["email"].alias("sender_email"))
+    return rows.select("doc_id", "pos", F.col("p.doc_id").alias("part_id"), "p.successor", "p.predecessor", header_rows.sender_of(F.col("p.header_text"))["email"].alias("sender_email"))
 
 
 @query("a3_merged_contacts", f"""WITH {PEOPLE_SQL}, {_LINES},
