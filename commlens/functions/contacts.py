@@ -35,11 +35,14 @@ def emails(c: Column) -> Column:
 
 
 def aliases(signature: Column, address: Column) -> Column:
-    """Signature lines that begin with the local part's first three characters, or (first two lines) end with its last three."""
+    """Signature lines that begin with the local part's first three characters, or (first two lines) end with its last three.
+
+    A line is one of letters, digits, _ and the signs from the blank to the full stop; one with a colon (a number, an address) is none.
+    """
     local = F.lower(F.substring_index(text(address), "@", 1))
     lines = F.filter(F.transform(F.split(text(signature), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     hit = F.filter(lines, lambda x, i: F.startswith(F.lower(x), F.substring(local, 1, 3)) | ((i < 2) & F.endswith(F.lower(x), F.right(local, F.lit(3)))))
-    return F.when(F.length(local) < 3, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(hit, lambda x: ~F.contains(x, F.lit("@")))))
+    return F.when(F.length(local) < 3, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(hit, lambda x: F.regexp_like(x, F.lit(r"(?U)^[\w -.]*$")))))
 
 
 def organisation(address: Column, providers: list[str]) -> Column:
