@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from itertools import count
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commlens.operators.edges import both_ways, nodes_of, undirected, without_loops
@@ -44,23 +44,75 @@ def responses(mails: DataFrame) -> DataFrame:
     return a.join(b, ["x", "node"]).withColumn("in_time", (F.col("t2") > F.col("t1")) & (F.col("t2") < business_days_later(F.col("t1"))))
 
 
+#: Replies are counted within spans of time, so that no pair of people meets in one task; a mail belongs to one span or to two.
+SPAN = 64 * 86_400_000_000
+
+
+def pair_counts(mails: DataFrame) -> DataFrame:
+    """Unordered pairs (a, b): mails from a to b (``there``) and from b to a (``back``); mails to oneself are all ``there``."""
+    first = F.coalesce(F.col("src") <= F.col("dst"), F.lit(True))
+    m = mails.select(F.when(first, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(first, F.col("dst")).otherwise(F.col("src")).alias("b"), first.alias("first"))
+    return m.groupBy("a", "b").agg(F.count_if("first").alias("there"), F.count_if(~F.col("first")).alias("back"))
+
+
+def node_counts(pairs: DataFrame) -> DataFrame:
+    """Per node of ``pair_counts``: mails sent, edges in and out, pairs of opposite mails."""
+    edges = ((F.col("there") > 0).cast("long") + (F.col("back") > 0).cast("long")).alias("edges")
+    both = (F.col("there") * F.col("back")).alias("pairs")
+    ends = F.array(F.struct(F.col("a").alias("node"), F.col("there").alias("sent"), edges, both), F.struct(F.col("b").alias("node"), F.col("back").alias("sent"), edges, both))
+    return pairs.select(F.inline(ends)).groupBy("node").agg(F.sum("sent").alias("sent"), F.sum("edges").alias("edges"), F.sum("pairs").alias("pairs"))
+
+
+def replies_in_time(mails: DataFrame) -> DataFrame:
+    """(node, replies, seconds): the pairs of ``responses`` that are in time, counted without listing them.
+
+    Replies to a mail are those up to its limit less those up to the mail itself, and running counts and sums over a
+    pair's mails in order of time give both.  One exchange by pair and span; a mail whose limit lies in the next span
+    goes there too, and counts from that span's beginning.
+    """
+    first = F.col("src") < F.col("dst")
+    t = F.col("t").cast("timestamp")
+    m = mails.where("src <> dst AND t IS NOT NULL").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), first.alias("first"), F.unix_micros(t).alias("t"), F.unix_micros(business_days_later(t)).alias("until"))
+    span = lambda c: F.floor(F.col(c) / SPAN)
+    m = m.withColumn("own", span("t")).withColumn("span", F.explode(F.sequence("own", span("until")))).withColumn("own", F.col("own") == F.col("span"))
+    w = Window.partitionBy("a", "b", "span")
+    some = lambda c: F.max(c).over(w)
+    # Replies by a to mails of b, and by b to mails of a: are there both in the span?
+    m = m.withColumn("by_a", some(F.col("own") & F.col("first")) & some(~F.col("first"))).withColumn("by_b", some(F.col("own") & ~F.col("first")) & some("first")).where("by_a OR by_b")
+    row = lambda by_a, at, kind, n, sign: F.struct(by_a.alias("by_a"), at.alias("at"), F.lit(kind).alias("kind"), F.lit(n).cast("long").alias("n"), F.lit(sign).alias("sign"))
+    # At equal times a limit comes before replies, and a mail after them: both ends are strict.
+    reply = F.when(F.col("own") & F.when(F.col("first"), F.col("by_a")).otherwise(F.col("by_b")), row(F.col("first"), F.col("t"), 1, 1, 0))
+    mail = F.when(F.when(F.col("first"), F.col("by_b")).otherwise(F.col("by_a")), F.array(row(~F.col("first"), F.col("until"), 0, 0, 1), F.when(F.col("own"), row(~F.col("first"), F.col("t"), 2, 0, -1))))
+    rows = F.array_compact(F.concat(F.array(reply), F.coalesce(mail, F.array().cast(f"array<{_ROW}>"))))
+    e = m.select("a", "b", "span", "t", F.explode(rows).alias("e")).select("a", "b", "span", (F.col("t") - F.col("span") * SPAN).alias("t"), "e.by_a", (F.col("e.at") - F.col("span") * SPAN).alias("at"), "e.kind", "e.n", "e.sign")
+    w = Window.partitionBy("a", "b", "span", "by_a").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.withColumn("k", F.sum("n").over(w)).withColumn("sum", F.sum(F.col("n") * F.col("at")).over(w)).where("sign <> 0 AND k > 0")
+    micros = F.col("sign") * (F.col("sum") - F.col("k") * F.col("t")).cast("double")
+    hits = e.groupBy(F.when(F.col("by_a"), F.col("a")).otherwise(F.col("b")).alias("node")).agg(F.sum(F.col("sign") * F.col("k")).alias("replies"), F.sum(micros).alias("micros"))
+    return hits.where("replies > 0").select("node", "replies", (F.col("micros") / F.lit(1e6)).alias("seconds"))
+
+
+_ROW = "struct<by_a: boolean, at: bigint, kind: int, n: bigint, sign: int>"
+
+
 def response_counts(mails: DataFrame) -> DataFrame:
     """Per node: replies in time, other pairs, seconds of the replies.
 
-    The same numbers as from ``responses`` without its pairs: the pairs of two people are the product of two counts,
-    and the replies in time come from a join on the pair and the day, as a reply is at most five days later.
+    The same numbers as from ``responses`` without its pairs: the pairs of two people are the product of two counts.
     """
-    m = mails.where("src <> dst").select("src", "dst", F.col("t").cast("timestamp").alias("t"))
-    n = m.groupBy("src", "dst").agg(F.count("*").alias("n"))
-    total = n.join(n.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("n").alias("k")), ["src", "dst"])
-    total = total.groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("n") * F.col("k")).alias("pairs"))
-    day = lambda c: F.unix_date(F.col(c).cast("date"))
-    a = m.select(F.col("src").alias("x"), F.col("dst").alias("node"), F.col("t").alias("t1")).withColumn("day", F.explode(F.sequence(day("t1"), day("t1") + 5)))
-    b = m.select(F.col("dst").alias("x"), F.col("src").alias("node"), F.col("t").alias("t2")).withColumn("day", day("t2"))
-    hit = a.join(b, ["x", "node", "day"]).where((F.col("t2") > F.col("t1")) & (F.col("t2") < business_days_later(F.col("t1"))))
-    seconds = (F.unix_micros("t2") - F.unix_micros("t1")) / F.lit(1e6)
-    replies = hit.groupBy("node").agg(F.count("*").alias("replies"), F.sum(seconds).alias("seconds"))
-    return total.join(replies, "node", "left").select("node", F.coalesce("replies", F.lit(0)).alias("replies"), (F.col("pairs") - F.coalesce("replies", F.lit(0))).alias("others"), "seconds")
+    total = node_counts(pair_counts(mails.where("src <> dst"))).where("pairs > 0")
+    return total.join(replies_in_time(mails), "node", "left").select("node", F.coalesce("replies", F.lit(0)).alias("replies"), (F.col("pairs") - F.coalesce("replies", F.lit(0))).alias("others"), "seconds")
+
+
+def mail_scores(mails: DataFrame, default: float = 432_000.0) -> DataFrame:
+    """(node, number_of_emails, response_score, average_time, degree_centrality), by one count of pairs and one of replies."""
+    n = written(node_counts(pair_counts(mails)), "nodes")
+    size = n.agg(F.count("*").alias("size"))
+    s = n.where("node IS NOT NULL").join(replies_in_time(mails), "node", "left").join(F.broadcast(size))  # one row
+    return s.select(
+        "node", F.col("sent").alias("number_of_emails"), (F.coalesce("replies", F.lit(0)) / (F.col("pairs") + 1)).alias("response_score"),
+        F.coalesce(F.col("seconds") / F.col("replies"), F.lit(default)).alias("average_time"), F.when(F.col("size") > 1, F.col("edges") / (F.col("size") - 1)).otherwise(F.lit(1.0)).alias("degree_centrality"),
+    )
 
 
 def response_score(mails: DataFrame) -> DataFrame:
@@ -71,7 +123,7 @@ def response_score(mails: DataFrame) -> DataFrame:
 
 def average_time(mails: DataFrame, default: float = 432_000.0) -> DataFrame:
     """Mean seconds until a reply; ``default`` where there is none."""
-    c = response_counts(mails).where("replies > 0").select("node", (F.col("seconds") / F.col("replies")).alias("average_time"))
+    c = replies_in_time(mails).select("node", (F.col("seconds") / F.col("replies")).alias("average_time"))
     return filled(nodes_of(mails), c, "average_time", default)
 
 

@@ -150,10 +150,8 @@ def g16e(spark, sf_dir):
 
 
 def _metrics(spark, sf_dir):
-    m = written(_messages(spark, sf_dir), "messages")
-    n = graph.number_of_emails(edges.weights(m))
-    d = graph.degree_centrality(edges.weights(m))
-    return n.join(graph.response_score(m), "node").join(graph.average_time(m), "node").join(d, "node")
+    m = written(messages(spark, sf_dir).select("src", "dst", "t"), "messages")
+    return written(graph.mail_scores(m), "scores")  # read for its ends and for its rows
 
 
 _METRICS = f"""{_RESPONSES}, ne AS (SELECT src, count(*) AS k FROM msg GROUP BY 1), ed AS (SELECT DISTINCT src, dst FROM msg), ends AS (SELECT src AS node FROM ed UNION ALL SELECT dst FROM ed),

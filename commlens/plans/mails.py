@@ -67,9 +67,10 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     j = li.join(o, li.l_orderkey == o.o_orderkey).select("o_orderkey", "o_custkey", "o_orderdate", "l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber")
     c, s = F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    out = j.select(c.alias("src"), s.alias("dst"), F.col("o_orderdate").alias("t"), (F.col("o_orderkey") * 16 + F.col("l_linenumber")).alias("mail_id"))
-    back = j.where("l_returnflag = 'R'").select(s.alias("src"), c.alias("dst"), F.col("l_shipdate").alias("t"), (F.col("o_orderkey") * 16 + F.col("l_linenumber") + 8).alias("mail_id"))
-    return out.unionAll(back)
+    id_ = F.col("o_orderkey") * 16 + F.col("l_linenumber")
+    out = F.struct(c.alias("src"), s.alias("dst"), F.col("o_orderdate").alias("t"), id_.alias("mail_id"))
+    back = F.struct(s.alias("src"), c.alias("dst"), F.col("l_shipdate").alias("t"), (id_ + 8).alias("mail_id"))
+    return j.select(F.inline(F.when(F.col("l_returnflag") == "R", F.array(out, back)).otherwise(F.array(out))))  # one join for both
 
 
 MESSAGES_SQL = """

@@ -3,7 +3,18 @@
 import random
 from collections import defaultdict
 
-from commlens.operators import phrases
+from pyspark.sql import functions as F
+
+from commlens.operators import edges, graph, phrases
+from commlens.plans import mails as plans
+from commlens.plans import registry
+from commlens.tables import shared_path
+
+def _documents(spark, rows) -> str:
+    folder = shared_path(spark, "documents")
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(folder + "/documents.parquet")
+    return folder
+
 
 WORDS = ["re", "be-am", "stone", "river", "the", "o'neil", "12", "ΑΣ", "İx", "Straße", "a", "of", "to_do", "zed", "Él", "go", "is"]
 
@@ -25,3 +36,30 @@ def test_candidates_against_all_phrases():
             want = sorted(((p, at) for p, at in places.items() if len(at) >= least), key=lambda x: (-len(x[1]), x[0]))[:most]
             got = phrases._candidates(tokens, lengths, least, most)
             assert [(" ".join(tokens[i : i + size]), sorted(at)) for i, size, at in got] == want
+
+
+def test_replies_without_their_pairs(spark):
+    """Running counts by spans give what listing all pairs gives, also at equal times, limits, ends of spans and for loops."""
+    rng = random.Random(9)
+    day, rows = 86_400_000_000, []
+    for i in range(900):
+        src, dst = rng.choice("abcé"), rng.choice("abcdé")
+        at = rng.choice([rng.randrange(0, 260) * day, rng.randrange(0, 30 * day), 64 * day * rng.randrange(-1, 4) + rng.randrange(-6, 6) * day // 2])
+        rows.append((src if i % 50 else None, dst if i % 61 else None, at if i % 40 else None))
+    mails = spark.createDataFrame(rows, "src string, dst string, us long").select("src", "dst", F.timestamp_micros("us").alias("t")).cache()
+    pairs = graph.responses(mails)
+    want = pairs.groupBy("node").agg(F.count_if("in_time").alias("replies"), F.count_if(~F.coalesce("in_time", F.lit(False))).alias("others"), F.sum(F.when(F.col("in_time"), (F.unix_micros("t2") - F.unix_micros("t1")) / 1e6)).alias("seconds"))
+    want = {r.node: (r.replies, r.others, round(r.seconds, 4)) for r in want.collect()}
+    assert len(want) == 4 and sum(w[0] for w in want.values()) > 500
+    assert {r.node: (r.replies, r.others, round(r.seconds, 4)) for r in graph.response_counts(mails).collect()} == want
+    e = edges.weights(mails)
+    old = graph.number_of_emails(e).join(graph.response_score(mails), "node").join(graph.average_time(mails), "node").join(graph.degree_centrality(e), "node")
+    new = graph.mail_scores(mails)
+    assert sorted(map(tuple, new.collect())) == sorted(map(tuple, old.collect()))
+    text = new._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join") == 2  # the nodes with their replies, and with one row
+
+
+def test_messages_by_one_join(spark):
+    m = plans.messages(spark, "/root/testdata/sf0.001")
+    assert m._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
