@@ -1,7 +1,8 @@
-"""Zones of a text: lines by kind, blocks of lines of one kind, and zones given as spans of characters; all native."""
-
-from __future__ import annotations
+"""Zones of a text: lines by kind, blocks of lines of one kind, and zones given as spans of characters."""
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,19 +45,20 @@ def overlap_zones(c: Column, spans: list[tuple[str, Column, Column]], default: s
     """array<string>: for each line the name of the span (name, first character, end) that it shares most characters with.
 
     A line includes its line end.  Ties go to the first span in the list; a line that no span touches is ``default``.
+    In Arrow batches, as native arrays have no running sum that is linear in the lines.
     """
-
-    def of(sizes: Column) -> Column:
-        starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-
-        def zone(a: Column, n: Column) -> Column:
-            shared = [F.greatest(F.lit(0), F.least(a + n, end) - F.greatest(a, lo)) for _, lo, end in spans]
-            best = F.array_max(F.array(*shared))
-            out = F.when(best == 0, default)
-            for (name, *_), s in zip(spans, shared, strict=True):
-                out = out.when(s == best, name)
-            return out
-
-        return let(starts, lambda s: F.transform(sizes, lambda n, i: zone(F.get(s, i), n)))
-
-    return let(F.transform(F.split(text(c), "\n"), lambda x: F.length(x) + 1), of)
+    names = [name for name, *_ in spans]
+
+    @F.arrow_udf("array<string>")
+    def zones(texts: pa.Array, *bounds: pa.Array) -> pa.Array:
+        lines = pc.split_pattern(texts, "\n")
+        count = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = pc.utf8_length(lines.flatten()).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        row, end = np.cumsum(count) - count, np.cumsum(size)
+        end -= np.repeat((end - size)[row], count)
+        low, high = ([np.repeat(b.to_numpy(zero_copy_only=False).astype(np.int64), count) for b in bounds[k::2]] for k in (0, 1))
+        shared = np.array([np.minimum(end, h) - np.maximum(end - size, lo) for lo, h in zip(low, high, strict=True)])
+        best = np.where(shared.max(axis=0) > 0, shared.argmax(axis=0), len(names))
+        return pa.ListArray.from_arrays(pa.array(np.append(row, len(size)), pa.int32()), pa.array([*names, default]).take(pa.array(best)))
+
+    return zones(text(c), *[b.cast("long") for _, *ends in spans for b in ends])

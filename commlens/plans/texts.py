@@ -333,7 +333,7 @@ def p38(spark, sf_dir):
     n = F.length(F.coalesce("text", F.lit("")))
     quarter, half = F.floor(n / 4).cast("int"), F.floor(n / 2).cast("int")
     z = zones.overlap_zones(F.col("text"), [("header", F.lit(0), quarter), ("body", quarter, half), ("signature", half, n - 20)], "none")
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(z).alias("line", "zone")).select("doc_id", F.col("line").cast("long").alias("line"), "zone")
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode_outer(z).alias("line", "zone")).select("doc_id", F.col("line").cast("long").alias("line"), "zone")
 
 
 @query("p25_signature", f"""

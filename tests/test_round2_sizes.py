@@ -63,3 +63,18 @@ def test_replies_without_their_pairs(spark):
 def test_messages_by_one_join(spark):
     m = plans.messages(spark, "/root/testdata/sf0.001")
     assert m._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+
+
+def test_zones_of_many_lines(spark):
+    """A text of 300 000 lines: its places are summed once, and its length is not counted for each line."""
+    long = "ab\n" * 300_000
+    rows = [(0, long), (1, None), (2, ""), (3, "é\n\n"), (4, "x" * 50), (5, "one\ntwo three four five\nsix\nseven eight nine ten\n")]
+    for r in registry.queries()["p38_zones"](spark, _documents(spark, rows)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line", "zone"))).alias("z")).collect():
+        text = dict(rows)[r.doc_id] or ""
+        n, want, a = len(text), [], 0
+        for i, line in enumerate(text.split("\n")):
+            b = a + len(line) + 1
+            shared = [min(b, n // 4) - a, min(b, n // 2) - max(a, n // 4), min(b, n - 20) - max(a, n // 2)]
+            want.append((i, "none" if max(shared) <= 0 else ("header", "body", "signature")[shared.index(max(shared))]))
+            a = b
+        assert [tuple(x) for x in r.z] == want
