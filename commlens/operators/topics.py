@@ -1,8 +1,8 @@
 """Topics: document frequencies, LDA, topic rows, order of topics, buckets of time."""
 
-from __future__ import annotations
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +15,55 @@ def document_frequency(df: DataFrame, id_col: str, words: Column) -> DataFrame:
     return df.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
+def repeated_ids(df: DataFrame, id_col: str) -> bool:
+    """Do several rows have one id?  Reads the ids alone."""
+    return bool(df.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
+
+
+def term_counts(df: DataFrame, id_col: str, words: Column) -> DataFrame:
+    """(id, term, n).  Where ids are unique, a row's terms are counted in that row and nothing is shuffled."""
+    if repeated_ids(df, id_col):
+        return df.select(id_col, F.explode(words).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
+    return df.select(id_col, F.inline(counted(words))).select(id_col, "term", "n")
+
+
+def counted(words: Column) -> Column:
+    """array<struct<term, n>>: how often each word occurs in the array."""
+
+    @F.arrow_udf("array<struct<term: string, n: bigint>>")
+    def run(lists: pa.Array) -> pa.Array:
+        size = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        terms = lists.flatten().dictionary_encode()
+        k = max(len(terms.dictionary), 1)
+        key, n = np.unique(np.repeat(np.arange(len(lists)), size) * k + terms.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        at = np.searchsorted(key, np.arange(len(lists) + 1) * k)
+        pairs = pa.StructArray.from_arrays([terms.dictionary.take(pa.array(key % k)), pa.array(n.astype(np.int64))], ["term", "n"])
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pairs)
+
+    return run(words)
+
+
+def with_frequencies(terms: DataFrame, df: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """``terms`` with the ``d`` of their ``term`` in ``df`` (term, d).
+
+    The most frequent terms, as many as fit ``broadcast_rows`` by a histogram of powers of two, go to the rows; only rows
+    of rarer terms are exchanged.
+    """
+    by_power = df.groupBy(F.floor(F.log2("d")).cast("int").alias("p")).agg(F.count("*").alias("n")).orderBy(F.desc("p")).collect()  # at most 64 rows
+    least, held = None, 0
+    for r in by_power:
+        held += r["n"]
+        if held > broadcast_rows:
+            break
+        least = 2 ** r["p"]
+    else:
+        return terms.join(F.broadcast(df), "term")
+    if least is None:
+        return terms.join(df, "term")
+    own = terms.join(F.broadcast(df.where(F.col("d") >= least)), "term", "left")
+    return own.where("d IS NOT NULL").unionByName(own.where("d IS NULL").drop("d").join(df.where(F.col("d") < least), "term"))
+
+
 def frequent_terms(df: DataFrame, id_col: str, words: Column, least: int = 3, most: float = 0.1) -> DataFrame:
     """Terms of at least ``least`` documents and at most that share of all."""
     n = df.agg(F.count("*").alias("n"))

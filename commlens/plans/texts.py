@@ -11,7 +11,7 @@ from commlens.functions import zones
 from commlens.functions.language import COMPANY, PLACES, WORDS, entities, language
 from commlens.functions.mime import decoded, text_of_html, without_inline_headers
 from commlens.operators import models, phrases
-from commlens.operators.topics import top_k
+from commlens.operators.topics import term_counts, top_k, with_frequencies
 from commlens.plans.mails import table
 from commlens.plans.registry import query
 from commlens.sources import readers, sinks
@@ -359,7 +359,7 @@ n AS (SELECT doc_id, phrase, count(*) AS n FROM b GROUP BY ALL), s AS (SELECT ph
 def a7(spark, sf_dir):
     w = _docs(spark, sf_dir).select("doc_id", cl.bag_of_words(F.col("text")).alias("w"))
     grams = F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get("w", i + 1)))
-    n = w.select("doc_id", F.explode(grams).alias("phrase")).groupBy("doc_id", "phrase").agg(F.count("*").alias("n"))
+    n = term_counts(w.select("doc_id", grams.alias("w")), "doc_id", F.col("w")).withColumnRenamed("term", "phrase")
     return phrases.mean_scores(n, F.col("phrase"), F.col("n")).withColumn("score", F.round("score", 6))
 
 
@@ -388,11 +388,10 @@ df AS (SELECT w, count(*) AS d FROM w GROUP BY 1), s AS (SELECT doc_id, w AS ter
 SELECT doc_id, term, weight, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term)::INT AS rank FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) <= 20""")
 def k4(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    w = d.select("doc_id", F.explode(cl.bag_of_words(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
-    w = written(w, "terms")
+    w = written(term_counts(d, "doc_id", cl.bag_of_words(F.col("text"))), "terms")
     df = written(w.groupBy("term").agg(F.count("*").alias("d")), "frequencies")  # written, so that a frequent term's rows can be split
     total = d.agg(F.count("*").alias("total"))
-    s = w.join(df, "term").join(F.broadcast(total)).select("doc_id", "term", F.round(F.col("n") * F.log((F.col("total") + 1.0) / (F.col("d") + 1)), 6).alias("weight"))  # one row
+    s = with_frequencies(w, df).join(F.broadcast(total)).select("doc_id", "term", F.round(F.col("n") * F.log((F.col("total") + 1.0) / (F.col("d") + 1)), 6).alias("weight"))  # one row
     return top_k(s, ["doc_id"], [F.desc("weight"), F.col("term")], 20)
 
 
