@@ -12,6 +12,11 @@ URL = r"(?i)(https?://|www\.)[^\s<>\"]+"
 MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(\+?[0-9]{1,2}[ .-]{1,2})?(\([0-9]{3}\)|[0-9]{3})[ ./-]{1,2}[0-9]{3}[ ./-][0-9]{4,5}"
 NUMBER = r"[0-9]+([.,][0-9]+)*"
+#: What a text must have for a pattern to match at all.
+NEEDS = {
+    URL: lambda c: F.contains(c, F.lit("://")) | F.contains(F.lower(c), F.lit("www.")),
+    MAIL: lambda c: F.contains(c, F.lit("@")),
+}
 CURRENCY = r"[$€£¥]"
 PUNCTUATION = r"[!\"#%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"
 NOISE = [
@@ -39,9 +44,11 @@ CONTRACTIONS = {"won't": "will not", "can't": "cannot", "n't": " not", "'re": "
 
 
 def drop(c: Column, *patterns: str, by: str = "") -> Column:
-    c = text(c)
+    """Patterns that NEEDS names are only run where the text has what they need; what is dropped before adds none of it."""
+    c = whole = text(c)
     for p in patterns:
-        c = F.regexp_replace(c, p, by)
+        gone = F.regexp_replace(c, p, by)
+        c = F.when(NEEDS[p](whole), gone).otherwise(c) if p in NEEDS else gone
     return c
 
 
